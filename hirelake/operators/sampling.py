@@ -19,7 +19,8 @@ def head_tail_sample(counts: DataFrame, size: int = 50, seed: int = 0) -> DataFr
     head = counts.orderBy(F.col("job_count").desc(), "company_name").limit(half)
     # Wide enough to fill the tail even if all of the head is in it; more than size rows
     # here mean more than size rows in the table.
-    pool = counts.withColumn("_rank", rank).orderBy("_rank", "company_name").limit(size + half)
+    pool = (counts.withColumn("_rank", rank).orderBy("_rank", "company_name")
+            .limit(size + half + 1))
     everything = Window.partitionBy(F.lit(0))
     wanted = F.when(F.col("_pool") <= size, size - half).otherwise(half)
     tail = (

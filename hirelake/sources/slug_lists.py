@@ -13,11 +13,12 @@ from hirelake.functions.text import strip
 _OTHER_LINE_ENDS = "[\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
 
 
-def _read_text(spark: SparkSession, path: str, glob: str, **options) -> DataFrame | None:
+def _read_text(spark: SparkSession, path: str, glob: str,
+               whole_files: bool = False) -> DataFrame | None:
     """Text files below path, None if there is no such path."""
     try:
-        return (spark.read.options(recursiveFileLookup="true", pathGlobFilter=glob, **options)
-                .text(path))
+        return (spark.read.options(recursiveFileLookup="true", pathGlobFilter=glob)
+                .text(path, wholetext=whole_files))
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -109,7 +110,7 @@ def read_snapshot_json(spark: SparkSession, path: str, whole_files: bool = False
     files that hold one (possibly indented) document each.
     """
     glob = "*_latest.json" if whole_files else "*.txt"
-    text = _read_text(spark, path, glob, **({"wholetext": "true"} if whole_files else {}))
+    text = _read_text(spark, path, glob, whole_files)
     if text is None:
         return spark.createDataFrame([], schemas.SNAPSHOT)
     file = F.col("_metadata.file_path")
