@@ -22,13 +22,15 @@ US_STATE_NAMES = {
     "texas": "TX", "utah": "UT", "vermont": "VT", "virginia": "VA", "washington": "WA",
     "west virginia": "WV", "wisconsin": "WI", "wyoming": "WY",
 }
-US_STATES = tuple(sorted(US_STATE_NAMES.values()))
 CA_PROVINCES = ("AB", "BC", "MB", "NB", "NL", "NS", "NT", "NU", "ON", "PE", "QC", "SK", "YT")
 COUNTRY_NAMES = {
     "US": "US", "USA": "US", "UNITED STATES": "US", "UNITED STATES OF AMERICA": "US",
     "CANADA": "CA",
     "UK": "UK", "UNITED KINGDOM": "UK", "ENGLAND": "UK", "SCOTLAND": "UK", "WALES": "UK",
 }
+# State or province code to its country.
+REGION_COUNTRIES = {**dict.fromkeys(US_STATE_NAMES.values(), "US"),
+                    **dict.fromkeys(CA_PROVINCES, "CA")}
 WORKPLACE_WORDS = ("remote", "hybrid", "on-site", "onsite")
 
 LOCATION_TYPE = "struct<city:string,state:string,country:string,is_remote:int>"
@@ -49,32 +51,35 @@ def _tokens(raw: Column) -> Column:
     return F.filter(parts, lambda p: (p != "") & ~F.lower(p).isin(*WORKPLACE_WORDS))
 
 
-def _with_country(tokens: Column) -> Column:
-    """What the last token says: a country, or a state or province code that settles all."""
-    n = F.size(tokens)
-    last = F.upper(F.get(tokens, n - 1))
-    is_state = last.isin(*US_STATES)
-    is_province = last.isin(*CA_PROVINCES) & (n >= 2)
+def _last_token(tokens: Column) -> Column:
+    """The last token in upper case and the country of the region it is a code of."""
+    last = F.upper(F.get(tokens, F.size(tokens) - 1))
+    return F.struct(tokens.alias("tokens"), last.alias("last"),
+                    lookup(REGION_COUNTRIES, last).alias("region_of"))
+
+
+def _with_country(end: Column) -> Column:
+    """What the last token says: a country, or a region code that settles everything.
+
+    A province code needs a token before it; alone it counts as a country code.
+    """
+    settles = (end["region_of"] == "US") | (F.size(end["tokens"]) >= 2)
+    region_of = F.when(settles, end["region_of"])
+    two_letters = F.when(end["last"].rlike(r"^\p{L}{2}\z"), end["last"])
     return F.struct(
-        tokens.alias("tokens"),
-        F.when(is_state | is_province, last).alias("code"),
-        F.coalesce(
-            lookup(COUNTRY_NAMES, last),
-            F.when(is_state, F.lit("US")).when(is_province, F.lit("CA"))
-            .when(last.rlike(r"^\p{L}{2}\z"), last),
-        ).alias("country"),
-    )
+        end["tokens"].alias("tokens"),
+        F.when(region_of.isNotNull(), end["last"]).alias("code"),
+        F.coalesce(lookup(COUNTRY_NAMES, end["last"]), region_of, two_letters).alias("country"))
 
 
 def _with_state(head: Column) -> Column:
-    """State named by the last token left once the country is taken off."""
+    """The last token left once the country is taken off, and what region it names."""
     n = F.size(head["tokens"])
     left = F.when(head["country"].isNotNull(), n - 1).otherwise(n)
     token = F.get(head["tokens"], left - 1)
-    up = F.upper(token)
-    us = F.coalesce(F.when(up.isin(*US_STATES), up), state_code(token))
-    ca = F.when(up.isin(*CA_PROVINCES), up)
-    return F.struct(left.alias("left"), us.alias("us"), ca.alias("ca"))
+    return F.struct(left.alias("left"), F.upper(token).alias("code"),
+                    lookup(REGION_COUNTRIES, F.upper(token)).alias("region_of"),
+                    state_code(token).alias("named"))
 
 
 def _place(head: Column) -> Column:
@@ -82,16 +87,18 @@ def _place(head: Column) -> Column:
     tokens = head["tokens"]
 
     def settle(tail: Column) -> Column:
-        state = F.coalesce(tail["us"], tail["ca"])
-        city = F.when(
-            tail["left"] - F.when(state.isNotNull(), 1).otherwise(0) > 0, F.get(tokens, F.lit(0)))
-        country = F.coalesce(head["country"], F.when(tail["us"].isNotNull(), F.lit("US")),
-                             F.when(tail["ca"].isNotNull(), F.lit("CA")))
-        return F.struct(city.alias("city"), state.alias("state"), country.alias("country"))
-
-    by_code = F.struct(F.get(tokens, F.size(tokens) - 2).alias("city"),
+        by_code = tail["region_of"].isNotNull()
+        state = F.when(by_code, tail["code"]).otherwise(tail["named"])
+        used = F.when(by_code | tail["named"].isNotNull(), 1).otherwise(0)
+        return F.struct(
+            F.when(tail["left"] > used, F.get(tokens, F.lit(0))).alias("city"),
+            state.alias("state"),
+            F.coalesce(head["country"], tail["region_of"],
+                       F.when(tail["named"].isNotNull(), F.lit("US"))).alias("country"))
+
+    settled = F.struct(F.get(tokens, F.size(tokens) - 2).alias("city"),
                        head["code"].alias("state"), head["country"].alias("country"))
-    return F.when(head["code"].isNotNull(), by_code).otherwise(bind(_with_state(head), settle))
+    return F.when(head["code"].isNotNull(), settled).otherwise(bind(_with_state(head), settle))
 
 
 def is_remote(raw: Column) -> Column:
@@ -101,7 +108,8 @@ def is_remote(raw: Column) -> Column:
 
 def parse_location(raw: Column) -> Column:
     """Struct of city, state, country and is_remote (int)."""
-    place = bind(bind(_tokens(F.coalesce(raw, F.lit(""))), _with_country), _place)
+    tokens = _tokens(F.coalesce(raw, F.lit("")))
+    place = bind(bind(bind(tokens, _last_token), _with_country), _place)
     return bind(place, lambda p: F.struct(
         p["city"].alias("city"), p["state"].alias("state"), p["country"].alias("country"),
         is_remote(raw).alias("is_remote")))

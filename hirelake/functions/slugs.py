@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hirelake.functions.text import bind
+
 # Names that are pages of a board site, not companies.
 RESERVED_SLUGS = ("robots.txt", "sitemap.xml", "embed", "widget")
 RESERVED_PREFIXES = ("api", "static", "assets", "favicon")
@@ -34,17 +36,16 @@ def is_valid_slug(slug: Column) -> Column:
 
 def decode_slug(raw: Column) -> Column:
     """Percent-decode and lower-case. '+' stays, and so does a '%' without two hex digits."""
-    guarded = F.regexp_replace(raw, "%(?![0-9A-Fa-f]{2})", "%25")
-    decoded = F.try_url_decode(F.regexp_replace(guarded, "\\+", "%2B"))
-    return F.lower(F.when(raw.contains("%"), F.coalesce(decoded, raw)).otherwise(raw))
-
+    def decoded(text: Column) -> Column:
+        guarded = F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
+        return F.try_url_decode(F.regexp_replace(guarded, "\\+", "%2B"))
 
-def _slashes_off(path: Column) -> Column:
-    return F.trim(path, F.lit("/"))
+    return F.lower(bind(raw, lambda r: F.when(
+        r.contains("%"), F.coalesce(decoded(r), r)).otherwise(r)))
 
 
-def url_parts(url: Column) -> tuple[Column, Column]:
-    """(host, path) of a URL; both are '' where the URL names no authority.
+def url_parts(url: Column) -> Column:
+    """Struct (host, path) of a URL; both are '' where the URL names no authority.
 
     Read by pattern because Spark's URL functions reject hosts and escapes that occur in
     real redirects. Host: lower case, without user info and port. Path: without query,
@@ -52,40 +53,55 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     """
     clean = F.regexp_replace(url, "^[\\x00-\\x20]+|[\\t\\r\\n]", "")
     pattern = "^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
-    authority = F.regexp_extract(clean, pattern, 1)
-    host = F.lower(F.regexp_extract(authority, "([^@:]*)(?::[^@]*)?$", 1))
-    path = F.regexp_replace(F.regexp_extract(clean, pattern, 2), ";[^/]*$", "")
-    return host, path
 
+    def parts(u: Column) -> Column:
+        authority = F.regexp_extract(u, pattern, 1)
+        path = F.regexp_extract(u, pattern, 2)
+        return F.struct(
+            F.lower(F.regexp_extract(authority, "([^@:]*)(?::[^@]*)?$", 1)).alias("host"),
+            F.regexp_replace(path, ";[^/]*$", "").alias("path"))
 
-def match_host(host: Column, patterns: Mapping[str, str]) -> Column:
-    """Name of the first pattern contained in the host, null if none is.
+    return bind(clean, parts)
 
-    patterns maps host text to name and is a short fixed list, so an ordered CASE does
-    what would otherwise be a nested-loop join.
-    """
-    name = F
-    for text, value in patterns.items():
-        name = name.when(host.contains(text), F.lit(value))
-    return name.otherwise(F.lit(None).cast("string")) if patterns else F.lit(None).cast("string")
+
+def _first_match(patterns: Mapping[str, str], test: Callable[[str], Column]) -> Column:
+    # A short fixed list: an ordered CASE does what would be a nested-loop join.
+    return F.coalesce(*[F.when(test(text), F.lit(name)) for text, name in patterns.items()],
+                      F.lit(None).cast("string"))
+
+
+def match_host(host: Column, patterns: Mapping[str, str]) -> Column:
+    """Name of the first pattern (host text to name) the host contains, null if none."""
+    return _first_match(patterns, host.contains)
 
 
 def match_domain(host: Column, patterns: Mapping[str, str]) -> Column:
     """Like match_host, but the host must be the domain itself or lie below it."""
-    name = F
-    for text, value in patterns.items():
-        name = name.when((host == text) | host.endswith("." + text), F.lit(value))
-    return name.otherwise(F.lit(None).cast("string")) if patterns else F.lit(None).cast("string")
+    return _first_match(patterns, lambda d: (host == d) | host.endswith("." + d))
 
 
 def redirect_target(url: Column, patterns: Mapping[str, str],
                     exact_domain: bool = False) -> Column:
     """Struct (ats, slug) of a resolved redirect; null if the host or slug is not usable."""
-    host, path = url_parts(url)
-    ats = (match_domain if exact_domain else match_host)(host, patterns)
-    slug = decode_slug(F.substring_index(_slashes_off(path), "/", 1))
-    return F.when(ats.isNotNull() & is_valid_slug(slug),
-                  F.struct(ats.alias("ats"), slug.alias("slug")))
+    match = match_domain if exact_domain else match_host
+
+    def target(u: Column) -> Column:
+        segment = F.substring_index(F.trim(u["path"], F.lit("/")), "/", 1)
+        return F.struct(match(u["host"], patterns).alias("ats"),
+                        decode_slug(segment).alias("slug"))
+
+    return bind(bind(url_parts(url), target), lambda t: F.when(
+        t["ats"].isNotNull() & is_valid_slug(t["slug"]), t))
+
+
+def redirect_targets(url: Column, patterns: Mapping[str, str],
+                     exact_domain: bool = False) -> Column:
+    """redirect_target as an array of at most one struct.
+
+    Unnesting it drops unusable URLs; a filter on the struct would be pushed below the
+    projection and read every URL twice.
+    """
+    return F.array_compact(F.array(redirect_target(url, patterns, exact_domain)))
 
 
 def slug_in_line(line: Column, pattern: str) -> Column:

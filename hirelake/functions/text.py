@@ -5,6 +5,7 @@ from __future__ import annotations
 import html.entities
 import json
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,6 +61,7 @@ _MARKUP = (
 _ENTITY = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?"
 
 
+@cache
 def _entity_tables() -> tuple[dict[str, str], dict[str, str]]:
     """Common names first, then the rest of HTML 5. Codes 128-159 mean windows-1252."""
     common = {n: chr(cp) for n, cp in html.entities.name2codepoint.items()}

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.functions.slugs import is_valid_slug, redirect_target
+from hirelake.functions.slugs import is_valid_slug, redirect_targets
 
 
 def systems(like: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -71,9 +71,8 @@ def resolve_redirects(postings: DataFrame, redirects: DataFrame, patterns: Mappi
     posting and target however many copies were landed.
     """
     targets = (
-        redirects.select("posting_id",
-                         redirect_target(F.col("final_url"), patterns, exact_domain).alias("t"))
-        .where(F.col("t").isNotNull())
-        .select("posting_id", "t.ats", "t.slug").distinct())
+        redirects.select("posting_id", F.inline(
+            redirect_targets(F.col("final_url"), patterns, exact_domain)))
+        .select("posting_id", "ats", "slug").distinct())
     wanted = postings.select("posting_id").distinct()
     return targets.join(wanted, "posting_id", "left_semi").select("ats", "slug").distinct()

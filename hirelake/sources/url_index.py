@@ -43,12 +43,11 @@ def slugs_in_records(records: DataFrame,
     sources = list(REGISTRY.values() if sources is None else sources)
     line = F.col("line")
     hosts = [s.url_pattern.split("(")[0].replace("\\", "") for s in sources]
-    found = F.explode(F.array(*[
+    hits = F.array(*[
         F.struct(F.lit(s.ats).alias("ats"), slug_in_line(line, s.url_pattern).alias("slug"))
-        for s in sources]))
+        for s in sources])
     return (
         records.where(reduce(or_, [line.contains(h) for h in hosts]))
-        .select(found.alias("hit")).select("hit.ats", "hit.slug")
-        .where(is_valid_slug(F.col("slug")))
+        .select(F.inline(F.filter(hits, lambda h: is_valid_slug(h["slug"]))))
         .distinct()
     )

@@ -97,7 +97,10 @@ def html_text(x: str) -> str:
     for tag in ("script", "style", "template"):
         s = f"regexp_replace({s}, '(?is)<{tag}[\\s>].*?</{tag}\\s*>', chr(1), 'g')"
     s = f"string_split_regex({s}, '(?s)<[/!?]?[a-zA-Z][^>]*>|\\x01')"
-    decoded = "replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+    decoded = "x"
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"),
+                       ("nbsp", "\u00a0"), ("#39", "''"), ("#x27", "''"), ("amp", "&")):
+        decoded = f"replace({decoded}, '&{name};', '{char}')"
     s = f"list_transform({s}, lambda x: {strip(decoded)})"
     return f"array_to_string(list_filter({s}, lambda x: x <> ''), chr(10))"
 

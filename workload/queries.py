@@ -36,9 +36,9 @@ def query(fn: Query) -> Query:
 @query
 def slug_by_family(spark, folder):
     """Boards behind URLs, counted per system."""
-    target = slugs.redirect_target(F.col("board_url"), boards.host_patterns())
-    hits = inputs.board_urls(spark, folder).select(target.alias("t")).where("t IS NOT NULL")
-    return hits.groupBy("t.ats", "t.slug").agg(F.count("*").alias("n")).groupBy("ats").agg(
+    targets = slugs.redirect_targets(F.col("board_url"), boards.host_patterns())
+    hits = inputs.board_urls(spark, folder).select(F.inline(targets))
+    return hits.groupBy("ats", "slug").agg(F.count("*").alias("n")).groupBy("ats").agg(
         F.count("*").alias("slugs"), F.sum("n").alias("pages"))
 
 
@@ -46,10 +46,11 @@ def slug_by_family(spark, folder):
 def host_match(spark, folder):
     """First host pattern contained in a URL's host, and the stricter domain match."""
     families = {"example.co": "co", "example.net": "net", "blog": "blog"}
-    host, path = slugs.url_parts(F.col("url"))
-    return table(spark, folder, "pages").select(
-        "page_id", host.alias("host"), path.alias("path"),
-        slugs.match_host(host, families).alias("family"),
+    parts = slugs.url_parts(F.col("url"))
+    pages = table(spark, folder, "pages").select("page_id", parts.alias("u"))
+    host = F.col("u.host")
+    return pages.select(
+        "page_id", "u.host", "u.path", slugs.match_host(host, families).alias("family"),
         slugs.match_domain(host, families).alias("domain"))
 
 
