@@ -122,21 +122,15 @@ def mark_dead(state: DataFrame, dead: DataFrame) -> DataFrame:
 # --- jobs -----------------------------------------------------------------------------
 
 
-def _fold(rows_of: Column) -> list[Column]:
-    """Aggregates that replay repeated rows in order, for the rows where rows_of holds.
+def _first_and_last(first: Column, last: Column, text: Column, of: Column) -> list[Column]:
+    """Replay repeated rows in order, those only where `of` holds.
 
     Kept columns come from the first row, the description from the last row that has one,
-    all others from the last row.
+    all others from the last row. The order leads each struct, so a plain minimum or
+    maximum decides.
     """
-    order = F.col("_order")
-    first = F.min_by(F.struct(*_KEPT), F.when(rows_of, order))
-    last = F.max_by(F.struct(*_REPLACED), F.when(rows_of, order))
-    described = rows_of & F.col("description_text").isNotNull()
-    text = F.max_by(F.struct("description_text"), F.when(described, order))
-    return [first.alias("_first"), last.alias("_last"), text.alias("_text"),
-            F.max(F.when(rows_of, order)).alias("_last_order"),
-            F.min(F.when(rows_of, order)).alias("_first_order"),
-            F.max(F.when(described, order)).alias("_text_order")]
+    return [F.min(F.when(of, first)).alias("_first"), F.max(F.when(of, last)).alias("_last"),
+            F.max(F.when(of, text)).alias("_text"), F.max("now").alias("now")]
 
 
 def fold_batch(incoming: DataFrame, state: DataFrame, order: Iterable[str] = ("pos",),
@@ -151,23 +145,23 @@ def fold_batch(incoming: DataFrame, state: DataFrame, order: Iterable[str] = ("p
     A job_id with any number of rows is thus at most one row per map task in each shuffle.
     Row counts ride along for the statistics, which count repeated rows one by one.
     """
-    rows = incoming.withColumn("_hash", compare_hash(hash_mode)).withColumn(
-        "_order", F.struct(*order, *[F.col(c) for c in ("company_id", "content_hash")]))
+    rows = incoming.withColumn("_hash", compare_hash(hash_mode))
+    at = F.struct(*order, "company_id").alias("at")
+    described = F.col("description_text").isNotNull()
     groups = rows.groupBy("job_id", "_hash").agg(
-        *_fold(F.lit(True)), F.max("now").alias("now"), F.count("*").alias("n_rows"))
+        *_first_and_last(F.struct(at, *_KEPT), F.struct(at, *_REPLACED),
+                         F.when(described, F.struct(at, "description_text")), F.lit(True)),
+        F.count("*").alias("n_rows"))
     stored = state.select("job_id", F.substring("content_hash", 1, 16).alias("_hash"),
                           F.lit(True).alias("_same"))
-    marked = groups.join(stored, ["job_id", "_hash"], "left")
     written = F.col("_same").isNull()
-    return marked.groupBy("job_id").agg(
-        F.min_by("_first", F.when(written, F.col("_first_order"))).alias("_first"),
-        F.max_by("_last", F.when(written, F.col("_last_order"))).alias("_last"),
-        F.max_by("_text", F.when(written, F.col("_text_order"))).alias("_text"),
-        F.max("now").alias("now"),
+    folded = groups.join(stored, ["job_id", "_hash"], "left").groupBy("job_id").agg(
+        *_first_and_last(F.col("_first"), F.col("_last"), F.col("_text"), written),
         F.sum("n_rows").alias("n_rows"),
-        F.sum(F.when(written, F.col("n_rows")).otherwise(0)).alias("n_written"),
-    ).select(
-        "job_id", "_first.*", "_last.*", F.col("_text.description_text"),
+        F.sum(F.when(written, F.col("n_rows")).otherwise(0)).alias("n_written"))
+    return folded.select(
+        "job_id", *[F.col(f"_first.{c}") for c in _KEPT],
+        *[F.col(f"_last.{c}") for c in _REPLACED], "_text.description_text",
         "now", "n_rows", "n_written")
 
 

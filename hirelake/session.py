@@ -15,6 +15,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # Recording a call site for every Column costs more than building the Column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"

@@ -217,26 +217,27 @@ def with_postings(probes: DataFrame, source: BoardSource) -> DataFrame:
 
 
 def postings_of(boards: DataFrame) -> DataFrame:
-    """One row per posting with its place in the payload (`pos`)."""
+    """One row per posting with its place in the payload (`pos`).
+
+    Postings without an id are dropped, as they cannot be keyed. Doing so inside the array
+    also keeps the optimizer from adding a size filter that would parse each body twice.
+    """
     others = [c for c in boards.columns if c != "postings"]
-    return boards.select(*others, F.posexplode("postings").alias("pos", "posting"))
+    keyed = F.filter("postings", lambda p: p["id"].isNotNull())
+    return boards.select(*others, F.posexplode(keyed).alias("pos", "posting"))
 
 
 def project_jobs(postings: DataFrame, source: BoardSource, now: Column | int) -> DataFrame:
     """Postings (columns slug, posting, and any others) to job rows.
 
-    Postings without an id are dropped, as they cannot be keyed. Other input columns but
-    the posting are kept behind the job columns.
+    Other input columns but the posting are kept behind the job columns.
     """
     now = F.lit(now) if isinstance(now, int) else now
     extra = [c for c in postings.columns
              if c not in schemas.JOB_SCHEMA.names and c != "posting"]
     p, slug = F.col("posting"), F.col("slug")
-    staged = (
-        postings.where(p["id"].isNotNull())
-        .withColumn("_raw", source.location(p))
-        .withColumn("_loc", parse_location(F.col("_raw")))
-    )
+    staged = postings.withColumn("_raw", source.location(p)).withColumn(
+        "_loc", parse_location(F.col("_raw")))
     loc = F.col("_loc")
     fields = {
         "job_id": F.concat(F.lit(source.ats + ":"), p["id"]),
