@@ -32,12 +32,19 @@ _REPLACED = tuple(c for c in JOBS.columns
 
 def existing_jobs(incoming: DataFrame, state: DataFrame) -> DataFrame:
     """(job_id, content_hash, has_desc) of the incoming ids that are in the state."""
-    ids = incoming.select("job_id").distinct()
+    ids = incoming.select("job_id").distinct()  # a repeated id is one row before the join
     known = state.select("job_id", "content_hash",
                          F.col("description_text").isNotNull().cast("int").alias("has_desc"))
     return known.join(ids, "job_id", "left_semi")
 
 
+def job_exists(state: DataFrame, job_id: str) -> DataFrame:
+    """The same for one id: a frame of one row, or none. The filter reaches the scan."""
+    return state.where(F.col("job_id") == job_id).select(
+        "job_id", "content_hash",
+        F.col("description_text").isNotNull().cast("int").alias("has_desc"))
+
+
 def compare_hash(mode: str = "reference") -> Column:
     """What an incoming row is compared by.
 
