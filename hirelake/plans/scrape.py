@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from hirelake.functions.text import non_empty
 from hirelake.operators import merge, probes
 from hirelake.schemas import COMPANIES, JOBS, META
-from hirelake.session import materialize
+from hirelake.session import materialize, side_by_side
 from hirelake.sources.boards import (
     ALIVE, DEAD, REGISTRY, BoardSource, postings_of, project_jobs, union_all, with_postings)
 from hirelake.sources.state_store import StateStore
@@ -72,12 +73,13 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
     spark = store.spark
 
     # Parsed payloads feed four consumers, so they are written once, pruned and collapsed.
-    boards = {s.ats: materialize(probe_boards(attempts, companies, s), f"boards-{s.ats}")
-              for s in sources}
-    outcomes = union_all([b.drop("postings") for b in boards.values()])
-    store.write(next_companies(companies, outcomes, now), COMPANIES, version)
+    def settle(source: BoardSource) -> DataFrame:
+        return materialize(probe_boards(attempts, companies, source), f"boards-{source.ats}")
 
-    incoming = union_all([board_jobs(boards[s.ats], s, now) for s in sources])
+    boards = side_by_side(spark, *[partial(settle, s) for s in sources])
+    outcomes = union_all([b.drop("postings") for b in boards])
+
+    incoming = union_all([board_jobs(b, s, now) for b, s in zip(boards, sources)])
     # Systems not in this run skip the join: their partitions are only filtered.
     ran = F.col("ats").isin([s.ats for s in sources])
     ours = jobs.where(ran)
@@ -95,10 +97,13 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
         for count in ("rows_new", "rows_updated"):
             metrics.append(F.coalesce(F.sum(F.when(F.col("ats") == s.ats, F.col(count))),
                                       F.lit(0)).alias(f"{s.ats}.{count}"))
-    store.write(merge.purge_stale(everything.observe(seen, *metrics), cutoff), JOBS, version)
-
+    next_jobs = merge.purge_stale(everything.observe(seen, *metrics), cutoff)
     entry = spark.createDataFrame([(LAST_RUN_KEY, str(now))], META.schema)
-    store.write(merge.put_meta(meta, entry), META, version)
+    side_by_side(
+        spark,
+        lambda: store.write(next_jobs, JOBS, version),
+        lambda: store.write(next_companies(companies, outcomes, now), COMPANIES, version),
+        lambda: store.write(merge.put_meta(meta, entry), META, version))
     store.commit(version)
 
     counts = seen.get

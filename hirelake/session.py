@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs are written for. Shuffle partition counts stay with the cluster:
@@ -49,3 +52,14 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     path = scratch_path(spark, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Results of a few independent Spark jobs submitted together.
+
+    While one job is down to its last tasks the others use the free cores.
+    """
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        # One wrapper per job: threads must not share the copied local properties.
+        futures = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [f.result() for f in futures]
