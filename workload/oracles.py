@@ -97,7 +97,8 @@ def html_text(x: str) -> str:
     for tag in ("script", "style", "template"):
         s = f"regexp_replace({s}, '(?is)<{tag}[\\s>].*?</{tag}\\s*>', chr(1), 'g')"
     s = f"string_split_regex({s}, '(?s)<[/!?]?[a-zA-Z][^>]*>|\\x01')"
-    decoded = "x"
+    # At the end of its text node a reference may lack the semicolon.
+    decoded = "regexp_replace(x, '&(copy|middot|quot|lt|gt|nbsp|amp)$', '&\\1;')"
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"),
                        ("nbsp", "\u00a0"), ("#39", "''"), ("#x27", "''"), ("amp", "&")):
         decoded = f"replace({decoded}, '&{name};', '{char}')"
