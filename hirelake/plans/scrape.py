@@ -25,16 +25,24 @@ class RunResult:
     version: int
     stats: DataFrame    # per system: companies, dead, errors, jobs_new, jobs_updated
     totals: DataFrame   # one row: companies, jobs_new, jobs_updated, purged
+    dropped: DataFrame  # per system: postings_dropped, for want of an id
 
 
-def probe_boards(attempts: DataFrame, stored: DataFrame, source: BoardSource) -> DataFrame:
-    """One row per board: ats, slug, outcome, company_name, postings.
+def probe_boards(attempts: DataFrame, stored: DataFrame, source: BoardSource,
+                 slugs: DataFrame | None = None) -> DataFrame:
+    """One row per board: ats, slug, outcome, unkeyed, company_name, postings.
 
-    The single shuffle on (ats, slug) serves the retry collapse and the join with the
-    stored companies. Names are settled here, at one row per company, and not per job,
-    where a large company would be one hot join key.
+    slugs (ats, slug), if given, are the only boards to consider. The single shuffle of the
+    payloads on (ats, slug) serves the retry collapse and both joins. Names are settled
+    here, at one row per company, and not per job, where a large company would be one hot
+    join key.
     """
     boards = probes.collapse_attempts(with_postings(attempts, source), "postings")
+    if slugs is not None:
+        listed = slugs.where(F.col("ats") == source.ats).select("ats", "slug")
+        boards = boards.join(listed, ["ats", "slug"], "left_semi")
+    unkeyed = F.size(F.filter("postings", lambda p: p["id"].isNull()))
+    boards = boards.withColumn("unkeyed", unkeyed)
     name = (probes.first_name(F.col(f"postings.{source.company_name}"))
             if source.company_name else F.lit(None).cast("string"))
     known = COMPANIES.conform(stored).where(F.col("ats") == source.ats)
@@ -60,11 +68,13 @@ def next_companies(state: DataFrame, boards: DataFrame, now: int) -> DataFrame:
 
 
 def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
-               only: Iterable[str] | None = None, version: int | None = None,
-               hash_mode: str = "reference", stale_days: int = merge.STALE_DAYS) -> RunResult:
+               only: Iterable[str] | None = None, slugs: DataFrame | None = None,
+               version: int | None = None, hash_mode: str = "reference",
+               stale_days: int = merge.STALE_DAYS) -> RunResult:
     """Merge a run's probe attempts into the state and commit the next version.
 
     only: the systems to process (all by default); the purge covers every system anyhow.
+    slugs: (ats, slug) list of the boards to process (all attempts by default).
     """
     base = store.latest()
     version = (base or 0) + 1 if version is None else version
@@ -74,7 +84,8 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
 
     # Parsed payloads feed four consumers, so they are written once, pruned and collapsed.
     def settle(source: BoardSource) -> DataFrame:
-        return materialize(probe_boards(attempts, companies, source), f"boards-{source.ats}")
+        return materialize(probe_boards(attempts, companies, source, slugs),
+                           f"boards-{source.ats}")
 
     boards = side_by_side(spark, *[partial(settle, s) for s in sources])
     outcomes = union_all([b.drop("postings") for b in boards])
@@ -112,7 +123,9 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
          for s in sources],
         "ats string, jobs_new bigint, jobs_updated bigint")
     stats = probes.outcome_stats(outcomes).join(per_ats, "ats")
-    return RunResult(version, stats, run_totals(stats, counts["purged"]))
+    dropped = outcomes.groupBy("ats").agg(
+        F.coalesce(F.sum("unkeyed"), F.lit(0)).alias("postings_dropped"))
+    return RunResult(version, stats, run_totals(stats, counts["purged"]), dropped)
 
 
 def run_totals(stats: DataFrame, purged: int) -> DataFrame:

@@ -109,6 +109,29 @@ def test_full_hash_mode(spark, tmp_path):
     assert rows(again.totals, "jobs_new", "jobs_updated") == [(0, 0)]
 
 
+def test_listed_slugs_only_and_dropped_postings(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "state"))
+    data = RUN1 + [("lever", "odd", 0, 200, '[{"text":"no id"},{"id":"9"},{"id":null}]')]
+    listed = spark.createDataFrame([("lever", "odd"), ("lever", "gone"), ("ashby", "ramp"),
+                                    ("greenhouse", "never")], schemas.SLUGS)
+    result = run_scrape(attempts(spark, data), store, T0, slugs=listed)
+    assert rows(result.stats, "ats", "companies", "dead", "errors", "jobs_new") == [
+        ("ashby", 1, 0, 0, 1), ("lever", 1, 1, 0, 1)]
+    assert rows(result.dropped, "ats", "postings_dropped") == [("ashby", 0), ("lever", 2)]
+    assert rows(store.read(JOBS), "job_id") == [("ashby:x",), ("lever:9",)]
+
+
+def test_unfinished_version_is_overwritten(spark, tmp_path):
+    """A run that died before its commit leaves files its retry replaces."""
+    store = StateStore(spark, str(tmp_path / "state"))
+    run_scrape(attempts(spark, RUN1), store, T0)
+    before = store.read(JOBS, 1).count()
+    store.write(store.read(JOBS, 1).limit(1), JOBS, 2)
+    assert (store.latest(), store.read(JOBS).count()) == (1, before)
+    run_scrape(attempts(spark, RUN1), store, T0 + 60)
+    assert (store.latest(), store.read(JOBS).count()) == (2, before)
+
+
 def test_stream_equals_batches(spark, tmp_path):
     landed, streamed = str(tmp_path / "landed"), StateStore(spark, str(tmp_path / "s"))
     batched = StateStore(spark, str(tmp_path / "b"))

@@ -9,7 +9,7 @@ from hirelake import schemas
 from hirelake.functions.text import content_hash
 
 RUN_1 = 1_700_000_000
-RUN_2 = RUN_1 + 86_400
+RUN_2 = RUN_1 + 8 * 86_400  # late enough for the purge to reach what only run 1 saw
 
 # Job titles, location and commitment texts; a row takes one of each and fills it in.
 TITLES = (

@@ -328,7 +328,7 @@ FULL_RUN = f"""WITH {RUNS}
     CAST(CASE WHEN in_1 THEN {RUN_1} ELSE {RUN_2} END AS BIGINT) AS first_seen_at,
     CAST(CASE WHEN in_2 THEN {RUN_2} ELSE {RUN_1} END AS BIGINT) AS last_seen_at,
     {hashed('title', 'slug', 'loc', 'CASE WHEN NOT bare THEN body END')} AS content_hash
-  FROM seen"""
+  FROM seen WHERE in_2"""
 
 FULL_RUN_STATS = f"""WITH {RUNS}
   SELECT ats, count(*) FILTER (in_2) AS companies, count(*) FILTER (NOT in_2) AS dead,
@@ -337,6 +337,13 @@ FULL_RUN_STATS = f"""WITH {RUNS}
     count(*) FILTER (in_1 AND in_2 AND coalesce(body, '') <> '') AS jobs_updated
   FROM docs GROUP BY ats"""
 
+FULL_RUN_TOTALS = f"""WITH {RUNS}
+  SELECT count(*) FILTER (in_2) AS companies,
+    CAST(coalesce(sum(CASE WHEN twice THEN 2 ELSE 1 END) FILTER (in_2 AND NOT in_1), 0) AS BIGINT) AS jobs_new,
+    count(*) FILTER (in_1 AND in_2 AND coalesce(body, '') <> '') AS jobs_updated,
+    count(*) FILTER (in_1 AND NOT in_2) AS purged
+  FROM docs"""
+
 FEED = f"""WITH {RUNS}
   SELECT ats || ':' || slug AS company_id, slug, ats,
     CASE ats WHEN 'greenhouse' THEN 'Company ' || source ELSE slug END AS name,
@@ -482,6 +489,7 @@ ORACLES = {
         ORDER BY p_name, p_partkey LIMIT 250 OFFSET 500""",
     "full_run": FULL_RUN,
     "full_run_stats": FULL_RUN_STATS,
+    "full_run_totals": FULL_RUN_TOTALS,
     "incremental_feed": FEED,
     "discovery_run_index": f"WITH {MERGED_SLUGS.replace('FROM b WHERE', 'FROM (SELECT DISTINCT ats, label AS slug FROM boards) WHERE')} SELECT * FROM merged",
     "discovery_run_aggregator": f"""WITH {BOARDS}, one AS (SELECT *, row_number() OVER (PARTITION BY label

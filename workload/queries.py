@@ -432,6 +432,12 @@ def full_run_stats(spark, folder):
     return _two_runs(spark, folder)[1].stats
 
 
+@query
+def full_run_totals(spark, folder):
+    """Sums over the systems and the purged jobs of the second of two runs."""
+    return _two_runs(spark, folder)[1].totals
+
+
 @query
 def incremental_feed(spark, folder):
     """The same two runs as micro-batches of a stream; companies afterwards."""
