@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import content_hash
+from hirelake.operators.joins import left_join_unique
 from hirelake.schemas import COMPANIES, JOBS, META
 
 NEW, UPDATE, TOUCH = "new", "update", "touch"
@@ -60,12 +61,12 @@ def compare_hash(mode: str = "reference") -> Column:
 
 
 def classify(incoming: DataFrame, state: DataFrame, hash_mode: str = "reference") -> DataFrame:
-    """Incoming rows with `action`: new, update or touch."""
+    """Incoming rows with `action`: new, update or touch. Ids may repeat any number of times."""
     stored = state.select("job_id", F.substring("content_hash", 1, 16).alias("_stored"),
                           F.lit(True).alias("_known"))
     same = F.coalesce(F.col("_stored") == compare_hash(hash_mode), F.lit(False))
     action = F.when(F.col("_known").isNull(), NEW).when(same, TOUCH).otherwise(UPDATE)
-    return (incoming.join(stored, "job_id", "left")
+    return (left_join_unique(incoming, stored, "job_id")
             .withColumn("action", action).drop("_stored", "_known"))
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +33,12 @@ def scratch_dir(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder all executors can reach")
-    local = tempfile.mkdtemp(prefix="hirelake-")
-    spark.conf.set(_CHECKPOINT_KEY, local)
-    return local
+    return _local_scratch()
+
+
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="hirelake-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
