@@ -161,3 +161,22 @@ SPACE_WORDS = ~np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 
 def sha256_hex(column: Column) -> Column:
     return F.sha2(column, 256)
+
+
+def mark(text: Column) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, winners: DataFrame, id_col: str = "doc_id",
+              text_col: str = "text") -> DataFrame:
+    """The rows of docs that winners(id, mark, n) name, one of each, with all their columns.
+
+    n is how many rows of docs are alike in id and mark; only those above one are shuffled again.
+    """
+    rows = docs.select(F.struct("*").alias("row"), docs[id_col].cast("long").alias("own_id"),
+                       mark(docs[text_col]).alias("own_mark"))
+    same = F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_mark") == F.col("mark"))
+    once = rows.join(winners.where("n = 1"), same, "left_semi").select("row")
+    again = rows.join(winners.where("n > 1"), same, "left_semi")
+    return once.union(again.dropDuplicates(["own_id", "own_mark"]).select("row")).select("row.*")

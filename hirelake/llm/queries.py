@@ -8,8 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.llm.common import sha256_hex
+from hirelake.llm.decontaminate import find_contamination
+from hirelake.llm.exact_dedup import exact_dedup
+from hirelake.llm.langid import fit, held_out, identify
+from hirelake.llm.line_dedup import line_dedup
+from hirelake.llm.packing import pack
+from hirelake.llm.secrets import scan_secrets
+from hirelake.llm.simhash import simhash_dedup
 from hirelake.llm.substring_dedup import substring_dedup
 from hirelake.llm.suffix_dedup import suffix_dedup
+from hirelake.llm.url_rules import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,3 +91,145 @@ SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_
   sha256(unhex(coalesce(k, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
 """
+
+
+@query
+def op2_exact_dedup(spark, folder):
+    return exact_dedup(table(spark, folder, "documents"))
+
+
+ORACLES["op2_exact_dedup"] = """
+WITH d AS (
+  SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  doc_id = max(doc_id) OVER w AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+
+@query
+def op3_secret_scan(spark, folder):
+    found = scan_secrets(table(spark, folder, "documents"), repo_col="doc_id", owner_col="source")
+    said = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
+        ":", s.kind, s.start.cast("string"), s.end.cast("string"))))
+    base = F.filter("spans", lambda s: s.kind != "token")
+    count = lambda field, value: F.size(
+        F.filter("spans", lambda s: s[field] == value)).cast("long")
+    return found.select(
+        "doc_id", *(count("kind", k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        sha256_hex(said(base)).alias("base_sha256"), said(F.col("spans")).alias("spans"),
+        *(count("verdict", v).alias(f"n_{v}") for v in ("live", "example")))
+
+
+@query
+def op5_simhash_dedup(spark, folder):
+    return simhash_dedup(table(spark, folder, "documents"))
+
+
+@query
+def op6_decontamination(spark, folder):
+    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.filter("matches.item_id", lambda x: x.isNotNull())))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
+        sha256_hex(F.concat_ws(",", items)).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+ORACLES["op6_decontamination"] = r"""
+WITH low AS (
+  SELECT 'd' AS kind, doc_id AS id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+  UNION ALL
+  SELECT 'b', item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') FROM benchmark),
+w AS (SELECT kind, id, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM low),
+windows AS (
+  SELECT id, least(10, len(ws)) AS n, array_to_string(ws[s:s + 9], ' ') AS win
+  FROM (SELECT id, ws, unnest(range(1, greatest(2, len(ws) - 8))) AS s
+        FROM w WHERE kind = 'b' AND len(ws) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT id, s, n, array_to_string(ws[s:s + n - 1], ' ') AS win
+  FROM (SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s
+        FROM w, sizes WHERE kind = 'd' AND len(ws) >= n)),
+found AS (
+  SELECT p.id AS doc_id, p.s, p.n, b.id AS item
+  FROM places p JOIN windows b ON p.win = b.win AND p.n = b.n),
+hit AS (
+  SELECT doc_id, count(DISTINCT i) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS i FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT w.id AS doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit ON w.id = hit.doc_id LEFT JOIN items ON w.id = items.doc_id
+WHERE kind = 'd'
+"""
+
+
+@query
+def op7_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    return identify(docs, fit(docs)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+# The rules (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@query
+def op8_url_filter(spark, folder):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, folder, "pages"), rules)
+
+
+ORACLES["op8_url_filter"] = r"""
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+rules(host, path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+    ('org', '/fr/', 'allow')),
+fits AS (
+  SELECT p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+    arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM p JOIN rules r ON ('.' || p.host).ends_with('.' || r.host) AND p.path.starts_with(r.path)
+  GROUP BY p.page_id)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM p LEFT JOIN fits f ON p.page_id = f.page_id
+"""
+
+
+@query
+def op9_best_fit_packing(spark, folder):
+    return pack(table(spark, folder, "documents"))
+
+
+@query
+def op10_line_dedup(spark, folder):
+    return line_dedup(table(spark, folder, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
+ORACLES["op10_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12)
+    || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+often AS (
+  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(often.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE often.key IS NULL), ''))
+    AS kept_sha256
+FROM k LEFT JOIN often ON k.key = often.key GROUP BY doc_id
+"""
