@@ -7,7 +7,7 @@ There is a run for every (window - anchor) / 2 elements or so, which is what is
 
 1. runs are grouped by their hash; a hash seen once ends there: nothing longer can repeat;
 2. where all runs of a hash are equal in full, all their windows are decided at once;
-3. only where runs differ are their windows compared one by one at full length.
+3. only where runs differ are their windows compared at full length.
 
 Elements are compared by 64-bit hashes of the stretch; groups of a hash are pre-aggregated in
 each task and again before the shuffle, and the joins on it are plain inner joins that
@@ -45,7 +45,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def _only(column: pa.Array, where: np.ndarray) -> pa.Array:
+def only(column: pa.Array, where: np.ndarray) -> pa.Array:
     """The column with nulls elsewhere."""
     return column.take(pa.array(np.arange(len(column)), mask=~where))
 
@@ -98,19 +98,22 @@ def find_runs(elements: np.ndarray, first: np.ndarray, window: int, anchor: int,
     return Runs(starts, stops, rows, least[starts].view(np.int64), rolling, tied)
 
 
+def grouped(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorting order, where each distinct value begins in it, and the distinct values."""
+    order = np.argsort(values)
+    ordered = values[order]
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return order, at, ordered[at]
+
+
 @dataclass
 class RepeatFinder:
-    """Marks the elements of windows that also start elsewhere.
-
-    earlier_only: elsewhere means in a document with a smaller id (a null id is the largest).
-    Otherwise it means anywhere, also in the same document.
-    """
+    """Marks the elements of windows that also start anywhere else, same document included."""
     elements: Elements
     finish: Finish
     result: str  # DDL of the columns that finish makes
     window: int
     anchor: int
-    earlier_only: bool = False
 
     # --- what tasks do ---
 
@@ -118,33 +121,20 @@ class RepeatFinder:
         return find_runs(*self.elements(*text_bytes(batch.column("text"))),
                          self.window, self.anchor, ties)
 
-    @staticmethod
-    def _ids(batch: pa.RecordBatch) -> np.ndarray:
-        return batch.column("id").fill_null(_FAR.max).to_numpy(False)
-
     def run_rows(self, batches) -> Iterator[pa.RecordBatch]:
-        """One row for each anchor hash of a slice: smallest and largest run and id, count."""
+        """One row for each anchor hash of a slice: smallest and largest run, number of runs."""
         for batch in slices(batches):
-            runs = self._runs(batch, ties=not self.earlier_only)
+            runs = self._runs(batch, ties=True)
             if not len(runs.starts):
                 continue
             spans = runs.rolling.between(runs.starts, runs.stops + self.window).view(np.int64)
-            low, high, n = spans, spans, np.ones(len(spans), np.int64)
-            if not self.earlier_only:
-                low = np.where(runs.tied, _FAR.min, spans)
-                high = np.where(runs.tied, _FAR.max, spans)
-                n = 1 + runs.tied.astype(np.int64)
-            order = np.argsort(runs.anchors)
-            values = runs.anchors[order]
-            at = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-            out = {"v": values[at], "low": np.minimum.reduceat(low[order], at),
-                   "high": np.maximum.reduceat(high[order], at)}
-            if self.earlier_only:
-                ids = self._ids(batch)[runs.rows][order]
-                out |= {"n": np.minimum.reduceat(ids, at), "m": np.maximum.reduceat(ids, at)}
-            else:
-                out["n"] = np.add.reduceat(n[order], at)
-            yield pa.RecordBatch.from_pydict(out)
+            order, at, values = grouped(runs.anchors)
+            low = np.where(runs.tied, _FAR.min, spans)[order]
+            high = np.where(runs.tied, _FAR.max, spans)[order]
+            n = 1 + runs.tied[order].astype(np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "v": values, "low": np.minimum.reduceat(low, at),
+                "high": np.maximum.reduceat(high, at), "n": np.add.reduceat(n, at)})
 
     def row_anchors(self, batches) -> Iterator[pa.RecordBatch]:
         """The distinct anchor hashes of each document."""
@@ -155,11 +145,8 @@ class RepeatFinder:
             order = np.lexsort((runs.anchors, runs.rows))
             rows, values = runs.rows[order], runs.anchors[order]
             new = np.concatenate([[True], (rows[1:] != rows[:-1]) | (values[1:] != values[:-1])])
-            rows, values = rows[new], values[new]
-            out = {"v": values, "key": batch.column("key").to_numpy(False)[rows]}
-            if self.earlier_only:
-                out["id"] = self._ids(batch)[rows]
-            yield pa.RecordBatch.from_pydict(out)
+            yield pa.RecordBatch.from_pydict({
+                "v": values[new], "key": batch.column("key").to_numpy(False)[rows[new]]})
 
     def _covered(self, batch, decided, windows) -> tuple[np.ndarray, np.ndarray]:
         """Which elements lie in a repeated window, and the first element of each row."""
@@ -192,8 +179,8 @@ class RepeatFinder:
             covered, first = self._covered(batch, batch.column("decided"), None)
             made = self.finish(batch.column("text"), covered, first)
             out = {n: batch.column(n) for n in ("key", "id")}
-            out |= {n: _only(batch.column(n), waits) for n in ("text", "decided", "open")}
-            out |= {n: _only(made[n], ~waits) for n in names} | {"waits": pa.array(waits)}
+            out |= {n: only(batch.column(n), waits) for n in ("text", "decided", "open")}
+            out |= {n: only(made[n], ~waits) for n in names} | {"waits": pa.array(waits)}
             yield pa.RecordBatch.from_pydict(out)
 
     def window_rows(self, batches, per_key: bool) -> Iterator[pa.RecordBatch]:
@@ -217,17 +204,14 @@ class RepeatFinder:
             order = np.lexsort((rows, values))
             rows, values = rows[order], values[order]
             new = np.concatenate([[True], values[1:] != values[:-1]])
-            ids = self._ids(batch)[rows]
             if per_key:
                 new[1:] |= rows[1:] != rows[:-1]
                 yield pa.RecordBatch.from_pydict({
-                    "w": values[new], "key": batch.column("key").to_numpy(False)[rows[new]],
-                    "id": ids[new]})
+                    "w": values[new], "key": batch.column("key").to_numpy(False)[rows[new]]})
             else:
                 at = np.flatnonzero(new)
                 yield pa.RecordBatch.from_pydict({
-                    "w": values[at], "n": np.diff(np.append(at, len(values))),
-                    "low": np.minimum.reduceat(ids, at), "high": np.maximum.reduceat(ids, at)})
+                    "w": values[at], "n": np.diff(np.append(at, len(values)))})
 
     def complete(self, batches) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -238,43 +222,25 @@ class RepeatFinder:
     # --- what Spark does ---
 
     def repeated_runs(self, docs: DataFrame) -> DataFrame:
-        """(v, uniform, first_id): anchor hashes seen more than once."""
-        if self.earlier_only:
-            rows = docs.mapInArrow(self.run_rows, "v long, low long, high long, n long, m long")
-            groups = rows.groupBy("v").agg(F.min("low").alias("low"), F.max("high").alias("high"),
-                                           F.min("n").alias("n"), F.max("m").alias("m"))
-            some = groups.where("n < m")
-        else:
-            rows = docs.mapInArrow(self.run_rows, "v long, low long, high long, n long")
-            groups = rows.groupBy("v").agg(F.min("low").alias("low"), F.max("high").alias("high"),
-                                           F.sum("n").alias("n"))
-            some = groups.where("n > 1")
-        return some.select("v", F.expr("low = high").alias("uniform"), F.col("n").alias("first_id"))
+        """(v, uniform): anchor hashes seen more than once."""
+        rows = docs.mapInArrow(self.run_rows, "v long, low long, high long, n long")
+        groups = rows.groupBy("v").agg(F.min("low").alias("low"), F.max("high").alias("high"),
+                                       F.sum("n").alias("n"))
+        return groups.where("n > 1").select("v", F.expr("low = high").alias("uniform"))
 
     def flags(self, docs: DataFrame, repeated: DataFrame) -> DataFrame:
         """(key, decided, open): per document the repeated hashes, by whether they are settled."""
-        ids = ", id long" if self.earlier_only else ""
-        hits = docs.mapInArrow(self.row_anchors, f"v long, key long{ids}").join(repeated, "v")
-        if self.earlier_only:
-            hits = hits.where("not uniform or id > first_id")
+        hits = docs.mapInArrow(self.row_anchors, "v long, key long").join(repeated, "v")
         return hits.groupBy("key").agg(
             F.collect_set(F.expr("if(uniform, v, null)")).alias("decided"),
             F.collect_set(F.expr("if(uniform, null, v)")).alias("open"))
 
     def repeated_windows(self, waiting: DataFrame) -> DataFrame:
         """(key, full): per undecided document the hashes of its repeated windows."""
-        rows = waiting.mapInArrow(lambda b: self.window_rows(b, False),
-                                  "w long, n long, low long, high long")
-        if self.earlier_only:
-            groups = rows.groupBy("w").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-            groups = groups.where("low < high").select("w", "low")
-        else:
-            groups = rows.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
-        hits = waiting.mapInArrow(lambda b: self.window_rows(b, True),
-                                  "w long, key long, id long").join(groups, "w")
-        if self.earlier_only:
-            hits = hits.where("id > low")
-        return hits.groupBy("key").agg(F.collect_set("w").alias("full"))
+        rows = waiting.mapInArrow(lambda b: self.window_rows(b, False), "w long, n long")
+        groups = rows.groupBy("w").agg(F.sum("n").alias("n")).where("n > 1").select("w")
+        hits = waiting.mapInArrow(lambda b: self.window_rows(b, True), "w long, key long")
+        return hits.join(groups, "w").groupBy("key").agg(F.collect_set("w").alias("full"))
 
     def run(self, docs: DataFrame) -> DataFrame:
         """docs(key, id, text) → (id, columns of finish), one row per input row."""
