@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from hirelake.llm.common import BYTE_VALUES, Rolling, documents, list_parts, slices, stage, text_bytes
 from hirelake.llm.repeats import RepeatFinder, Runs, grouped, only
 
-GROUP = 256  # positions of a name that are compared in one place
+GROUP = 1 << 17  # positions of a name that are compared in one place, some 10 MB
 CHUNK = 1 << 15  # positions that a task compares at a time, and the rest of a name
 
 _LAST = np.iinfo(np.int64).max
