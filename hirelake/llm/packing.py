@@ -197,7 +197,7 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k", capacity: int = CAPAC
     # one row per length, at most as many as a sequence has places
     totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = docs.sparkSession.sparkContext.broadcast(Places(plan_bins(totals, capacity)))
-    ranked = pieces.join(before, ["length", "task"]).select(
+    ranked = pieces.join(before.hint("merge"), ["length", "task"]).select(
         "id", "piece", "start", "length", "crc", *["ids"] * with_ids,
         (F.col("rank") + F.col("before")).alias("rank"))
     placed = ranked.mapInArrow(_placed(places), "id long, piece int, start long, length long, "
