@@ -95,9 +95,9 @@ class Model:
         return best, np.take_along_axis(odds, best[:, None], 1)[:, 0] / odds.sum(axis=1)
 
 
-def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 12, batch: int = 64,
+def train(texts: list[str], labels: list[str], dim: int = 16, steps: int = 400, batch: int = 64,
           rate: float = 4.0, seed: int = 7) -> Model:
-    """Stochastic gradient descent on texts and labels; every fifth text calibrates."""
+    """About so many steps of stochastic gradient descent; every fifth text calibrates."""
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((0, NOTHING + 1)), np.zeros(0))
@@ -126,9 +126,11 @@ def train(texts: list[str], labels: list[str], dim: int = 16, epochs: int = 12,
                         for d in range(dim)], 1)
         return out, rows, buckets, shares
 
+    batches = max(1, len(own) // batch)
+    epochs = -(-steps // batches)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        for part in np.array_split(random.permutation(own), max(1, len(own) // batch)):
+        for part in np.array_split(random.permutation(own), batches):
             mean, rows, buckets, shares = averages(part)
             logits = mean @ softmax + bias
             odds = np.exp(logits - logits.max(axis=1, keepdims=True))
