@@ -76,12 +76,13 @@ def _entity_tables() -> tuple[dict[str, str], dict[str, str]]:
 
 def _decode_entity(name: Column) -> Column:
     common, rare = _entity_tables()
-    digits = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(
-        F.substring(name, 2, 10))
-    code = digits.try_cast("bigint")
+    # Without leading zeros, seven digits hold every code in either base.
+    digits = F.regexp_replace(name, "^#[xX]?0*", "")
+    code = F.when(name.rlike("^#[xX]"), F.conv(F.substring(digits, 1, 7), 16, 10)).otherwise(
+        F.substring(digits, 1, 7)).try_cast("bigint")
     replacement = F.lit("\ufffd")
     by_code = F.when(
-        (F.length(name) > 10) | (code < 1) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF),
+        (F.length(digits) > 7) | code.isNull() | (code < 1) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF),
         replacement,
     ).otherwise(F.coalesce(
         lookup(common, F.concat(F.lit("#"), code.cast("string"))),

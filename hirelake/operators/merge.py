@@ -113,17 +113,29 @@ def get_meta(meta: DataFrame, key: str) -> DataFrame:
 
 
 def upsert_companies(state: DataFrame, probed: DataFrame) -> DataFrame:
-    """Companies that answered: alive again, new probe time, name kept if none is given."""
+    """Companies that answered: alive again, new probe time, name kept if none is given.
+
+    An answer older than the stored probe time changes nothing.
+    """
+    known = state.select(F.col("company_id").alias("_id"), F.col("last_probed_at").alias("_last"))
+    newer = F.col("_last").isNull() | (F.col("last_probed_at") >= F.col("_last"))
+    probed = probed.join(known, F.col("company_id") == F.col("_id"), "left").where(newer)
     rows = COMPANIES.conform(probed.withColumn("is_dead", F.lit(0)))
     return upsert(COMPANIES.conform(state), rows, "company_id",
                   keep=("slug", "ats"), coalesce=("name",))
 
 
 def mark_dead(state: DataFrame, dead: DataFrame) -> DataFrame:
-    """Set is_dead on stored companies among the dead ones; unknown ones are not added."""
-    gone = dead.select("company_id").distinct().withColumn("_gone", F.lit(True))
+    """Set is_dead on stored companies among the dead ones; unknown ones are not added.
+
+    Where dead has last_probed_at, a company that answered later stays alive.
+    """
+    when = F.col("last_probed_at") if "last_probed_at" in dead.columns else F.lit(None)
+    gone = dead.groupBy("company_id").agg(
+        F.max(when.cast("bigint")).alias("_when"), F.first(F.lit(True)).alias("_gone"))
+    held = F.col("_gone") & (F.coalesce(F.col("_when") >= F.col("last_probed_at"), F.lit(True)))
     return (state.join(gone, "company_id", "left")
-            .withColumn("is_dead", F.when(F.col("_gone"), 1).otherwise(F.col("is_dead")))
+            .withColumn("is_dead", F.when(held, 1).otherwise(F.col("is_dead")))
             .select(*state.columns))
 
 
@@ -181,11 +193,13 @@ def merge_jobs(state: DataFrame, folded: DataFrame) -> DataFrame:
     s, b = JOBS.conform(state).alias("s"), folded.alias("b")
     in_state = F.col("s.job_id").isNotNull()
     in_batch = F.col("b.job_id").isNotNull()
-    written = in_batch & (F.col("b.n_written") > 0)
+    # A batch older than what is stored brings new jobs only.
+    late = in_state & in_batch & (F.col("b.now") < F.col("s.last_seen_at"))
+    written = in_batch & (F.col("b.n_written") > 0) & ~F.coalesce(late, F.lit(False))
     values = {
         "job_id": F.coalesce("s.job_id", "b.job_id"),
         "first_seen_at": F.when(in_state, F.col("s.first_seen_at")).otherwise(F.col("b.now")),
-        "last_seen_at": F.when(in_batch, F.col("b.now")).otherwise(F.col("s.last_seen_at")),
+        "last_seen_at": F.greatest("b.now", "s.last_seen_at"),
     }
     for c in _KEPT:
         values[c] = F.when(in_state, F.col(f"s.{c}")).otherwise(F.col(f"b.{c}"))
@@ -193,7 +207,8 @@ def merge_jobs(state: DataFrame, folded: DataFrame) -> DataFrame:
         values[c] = F.coalesce(F.when(written, F.col(f"b.{c}")), F.col(f"s.{c}"))
     for c in _REPLACED:
         values[c] = F.when(written, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}"))
-    rows, hits = F.coalesce("b.n_rows", F.lit(0)), F.coalesce("b.n_written", F.lit(0))
+    rows = F.coalesce("b.n_rows", F.lit(0))
+    hits = F.when(late, 0).otherwise(F.coalesce("b.n_written", F.lit(0)))
     counts = {
         "rows_new": F.when(in_state, 0).otherwise(rows),
         "rows_updated": F.when(in_state, hits).otherwise(0),

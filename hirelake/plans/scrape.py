@@ -70,11 +70,13 @@ def next_companies(state: DataFrame, boards: DataFrame, now: int) -> DataFrame:
 def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
                only: Iterable[str] | None = None, slugs: DataFrame | None = None,
                version: int | None = None, hash_mode: str = "reference",
-               stale_days: int = merge.STALE_DAYS) -> RunResult:
+               stale_days: int = merge.STALE_DAYS,
+               step: tuple[str, int, int] | None = None) -> RunResult:
     """Merge a run's probe attempts into the state and commit the next version.
 
     only: the systems to process (all by default); the purge covers every system anyhow.
     slugs: (ats, slug) list of the boards to process (all attempts by default).
+    step: stream, batch and run, for the commit log.
     """
     base = store.latest()
     version = (base or 0) + 1 if version is None else version
@@ -109,13 +111,15 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
             metrics.append(F.coalesce(F.sum(F.when(F.col("ats") == s.ats, F.col(count))),
                                       F.lit(0)).alias(f"{s.ats}.{count}"))
     next_jobs = merge.purge_stale(everything.observe(seen, *metrics), cutoff)
-    entry = spark.createDataFrame([(LAST_RUN_KEY, str(now))], META.schema)
+    last = merge.get_meta(meta, LAST_RUN_KEY).first()
+    latest = now if last is None else max(now, int(last.value))
+    entry = spark.createDataFrame([(LAST_RUN_KEY, str(latest))], META.schema)
     side_by_side(
         spark,
         lambda: store.write(next_jobs, JOBS, version),
         lambda: store.write(next_companies(companies, outcomes, now), COMPANIES, version),
         lambda: store.write(merge.put_meta(meta, entry), META, version))
-    store.commit(version)
+    store.commit(version, *step or ())
 
     counts = seen.get
     per_ats = spark.createDataFrame(

@@ -33,13 +33,14 @@ class BoardSource:
     # (posting, slug, bound location) -> job columns that differ between systems
     fields: Callable[[Column, Column, Column], Mapping[str, Column]]
     location: Callable[[Column], Column]
-    url_pattern: str
+    url_pattern: str                # one group: the slug
     host_pattern: str
     index_prefix: str
     body_is_list: bool = False      # postings at the root; an object then means "no such board"
     empty_is_dead: bool = False     # a board without postings counts as gone
     keep: Callable[[Column], Column] | None = None
     company_name: str | None = None  # posting field that names the company, if there is one
+    url_literal: str | None = None  # text that every line with a match contains
 
     @property
     def postings_type(self) -> T.ArrayType:
@@ -133,6 +134,7 @@ LEVER = register(BoardSource(
     fields=_lever_fields,
     location=lambda p: _text(p["categories"]["location"]),
     url_pattern=r"jobs\.lever\.co/([a-zA-Z0-9._-]+)",
+    url_literal="jobs.lever.co/",
     host_pattern="lever.co",
     index_prefix="co,lever,jobs)",
     body_is_list=True,
@@ -143,6 +145,7 @@ GREENHOUSE = register(BoardSource(
     fields=_greenhouse_fields,
     location=lambda p: _text(p["location"]["name"]),
     url_pattern=r"job-boards\.greenhouse\.io/([a-zA-Z0-9._-]+)",
+    url_literal="job-boards.greenhouse.io/",
     host_pattern="greenhouse.io",
     index_prefix="io,greenhouse,job-boards)",
     company_name="company_name",
@@ -153,6 +156,7 @@ ASHBY = register(BoardSource(
     fields=_ashby_fields,
     location=lambda p: _text(p["location"]),
     url_pattern=r"jobs\.ashbyhq\.com/([a-zA-Z0-9%._-]+)",
+    url_literal="jobs.ashbyhq.com/",
     host_pattern="ashbyhq.com",
     index_prefix="com,ashbyhq,jobs)",
     empty_is_dead=True,

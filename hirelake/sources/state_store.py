@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hirelake.schemas import COMPANIES, JOBS, META, TableSpec
 
+_LOG = "version long, stream string, batch long, probed_at long"
 _PARTITIONED = {JOBS.name: ("ats",), COMPANIES.name: ("ats",), META.name: ()}
 
 
@@ -52,8 +53,17 @@ class StateStore:
          .partitionBy(*_PARTITIONED[table.name])
          .parquet(self._path(version, table)))
 
-    def commit(self, version: int) -> None:
-        """Make a fully written version the latest one."""
-        (self.spark.range(1).select(F.lit(version).cast("long").alias("version"))
+    def has(self, stream: str, batch: int, run: int) -> bool:
+        """Whether a run of a stream's batch is committed."""
+        if self.latest() is None:
+            return False
+        log = self.spark.read.schema(_LOG).parquet(f"{self.root}/commits")
+        return not log.where((F.col("stream") == stream) & (F.col("batch") == batch)
+                             & (F.col("probed_at") == run)).isEmpty()
+
+    def commit(self, version: int, stream: str | None = None, batch: int | None = None,
+               run: int | None = None) -> None:
+        """Make a fully written version the latest one; a stream says which batch and run it was."""
+        (self.spark.createDataFrame([(version, stream, batch, run)], _LOG)
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .parquet(f"{self.root}/commits/run={version:012d}"))

@@ -29,25 +29,35 @@ def parse_block_lines(lines: DataFrame) -> DataFrame:
 
 
 def read_index_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Index records, one per line, of landed gzip blocks; unreadable blocks give no rows."""
-    return (spark.read.options(lineSep="\n", ignoreCorruptFiles="true").text(paths)
+    """Index records, one per line, of landed gzip blocks; a damaged block fails the job."""
+    return (spark.read.options(lineSep="\n", ignoreCorruptFiles="false").text(paths)
             .select(F.col("value").alias("line")))
 
 
+def not_gzip(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(path) of landed blocks that are not gzip at all, to be left out of the paths read.
+
+    Blocks are a few hundred KB each; only their first two bytes leave the scan.
+    """
+    files = spark.read.format("binaryFile").load(paths)
+    return files.where(F.hex(F.substring("content", 1, 2)) != "1F8B").select("path")
+
+
 def slugs_in_records(records: DataFrame,
                      sources: Sequence[BoardSource] | None = None) -> DataFrame:
     """Distinct (ats, slug) found in index records, all systems in one pass.
 
-    Plain substring tests sort out lines without a board URL before any pattern runs.
+    Plain substring tests sort out lines without a board URL before any pattern runs, unless
+    a source names no such text.
     """
     sources = list(REGISTRY.values() if sources is None else sources)
     line = F.col("line")
-    hosts = [s.url_pattern.split("(")[0].replace("\\", "") for s in sources]
+    maybe = [line.contains(s.url_literal) if s.url_literal else F.lit(True) for s in sources]
     hits = F.array(*[
         F.struct(F.lit(s.ats).alias("ats"), slug_in_line(line, s.url_pattern).alias("slug"))
         for s in sources])
     return (
-        records.where(reduce(or_, [line.contains(h) for h in hosts]))
+        records.where(reduce(or_, maybe))
         .select(F.inline(F.filter(hits, lambda h: is_valid_slug(h["slug"]))))
         .distinct()
     )

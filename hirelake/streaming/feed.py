@@ -25,21 +25,28 @@ def read_feed(spark: SparkSession, path: str, file_format: str = "parquet",
 
 
 def start_feed(feed: DataFrame, store: StateStore, checkpoint: str,
-               hash_mode: str = "reference", **trigger) -> StreamingQuery:
+               hash_mode: str = "reference", stream: str | None = None,
+               **trigger) -> StreamingQuery:
     """Merge every micro-batch into the state; trigger as for DataStreamWriter.trigger.
 
-    The batch id is the version number. A batch replayed after its commit is skipped; one
-    that died before it overwrites its own unfinished folder. Expiry goes by the latest
-    probe time of the batch.
+    probed_at is the time of the run an attempt belongs to. The runs of a micro-batch (a few)
+    are merged one after the other, oldest first, each as a version of its own; a run older
+    than what is stored brings new jobs and companies only. The commit log names stream,
+    batch and run, so that a replay after the commit is skipped and nothing else is; a run
+    that died before it overwrites its own unfinished folder. The stream's name is its
+    checkpoint unless given; keep a name over a lost checkpoint only if the source will
+    deal out the same batches again.
     """
+    name = stream or checkpoint
+
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        if (store.latest() or 0) >= version:
-            return
-        now = batch.agg(F.max("probed_at")).first()[0]
-        if now is not None:
-            run_scrape(batch.drop("probed_at"), store, now, version=version,
-                       hash_mode=hash_mode)
+        runs = batch.select("probed_at").distinct().orderBy("probed_at").collect()
+        if runs and runs[0].probed_at is None:
+            raise ValueError("an attempt without probed_at belongs to no run")
+        for now in [r.probed_at for r in runs]:
+            if not store.has(name, batch_id, now):
+                own = batch.where(F.col("probed_at") == now).drop("probed_at")
+                run_scrape(own, store, now, hash_mode=hash_mode, step=(name, batch_id, now))
 
     return (feed.writeStream.foreachBatch(merge_batch)
             .option("checkpointLocation", checkpoint).trigger(**trigger or {"availableNow": True})

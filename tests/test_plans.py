@@ -4,6 +4,8 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from hirelake import schemas
 from hirelake.plans import discovery, validation
 from hirelake.plans.scrape import run_scrape
@@ -148,13 +150,52 @@ def test_stream_equals_batches(spark, tmp_path):
         assert rows(streamed.read(table), *table.columns) == rows(batched.read(table), *table.columns)
 
 
-def test_replayed_batch_is_skipped(spark, tmp_path):
+def land(spark, path, *runs):
+    data = [(*r, now) for now, run in runs for r in run]
+    spark.createDataFrame(data, feed.FEED_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+
+
+def follow(spark, path, store, checkpoint, **options):
+    query = feed.start_feed(feed.read_feed(spark, path), store, str(checkpoint), **options)
+    query.awaitTermination(300)
+    assert query.exception() is None
+
+
+def test_replayed_batch_is_skipped_and_no_other(spark, tmp_path):
     landed, store = str(tmp_path / "landed"), StateStore(spark, str(tmp_path / "s"))
-    spark.createDataFrame([(*r, T0) for r in RUN1], feed.FEED_SCHEMA).coalesce(1).write.parquet(landed)
-    for checkpoint in ("cp1", "cp2"):  # a lost checkpoint makes the stream start over
-        feed.start_feed(feed.read_feed(spark, landed), store,
-                        str(tmp_path / checkpoint)).awaitTermination(300)
-    assert store.latest() == 1
+    run_scrape(attempts(spark, RUN1), store, T0 - DAY)
+    land(spark, landed, (T0, RUN2))
+    for checkpoint in ("cp1", "cp2"):  # a lost checkpoint under the same name
+        follow(spark, landed, store, tmp_path / checkpoint, stream="boards")
+        assert store.latest() == 2
+    follow(spark, landed, store, tmp_path / "cp3", stream="other")
+    assert store.latest() == 3
+    assert store.read(JOBS).agg(F.max("last_seen_at")).first()[0] == T0
+
+
+def test_two_runs_in_one_batch_equal_two_batches(spark, tmp_path):
+    landed, streamed = str(tmp_path / "landed"), StateStore(spark, str(tmp_path / "s"))
+    batched = StateStore(spark, str(tmp_path / "b"))
+    for i, run in enumerate((RUN1, RUN2)):
+        run_scrape(attempts(spark, run), batched, T0 + i * DAY)
+    land(spark, landed, (T0 + DAY, RUN2), (T0, RUN1))  # the newer one first
+    follow(spark, landed, streamed, tmp_path / "cp")
+    for table in (COMPANIES, JOBS, META):
+        assert rows(streamed.read(table), *table.columns) == rows(batched.read(table), *table.columns)
+
+
+def test_late_run_never_moves_back(spark, tmp_path):
+    store = StateStore(spark, str(tmp_path / "s"))
+    for i, run in enumerate((RUN1, RUN2)):
+        run_scrape(attempts(spark, run), store, T0 + i * DAY)
+    before = {t.name: rows(store.read(t), *t.columns) for t in (COMPANIES, META)}
+    seen = {r.job_id: r for r in store.read(JOBS).collect()}
+    run_scrape(attempts(spark, RUN1), store, T0)
+    after = {r.job_id: r for r in store.read(JOBS).collect()}
+    newest = [j for j, r in seen.items() if r.last_seen_at == T0 + DAY]
+    assert newest and all(after[j] == seen[j] for j in newest)
+    assert rows(store.read(META), *META.columns) == before[META.name]
+    assert max(r.last_probed_at for r in store.read(COMPANIES).collect()) == T0 + DAY
 
 
 def test_discovery_from_index(spark, tmp_path):

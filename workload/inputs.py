@@ -180,9 +180,11 @@ def greenhouse_bodies(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ashby_bodies(spark: SparkSession, folder: str) -> DataFrame:
-    """Each document as a one-job ashby board; Spanish ones are unlisted."""
+    """Each document as an ashby board of one job; Spanish ones are unlisted.
+
+    Every seventh board has a second job, without a plain description.
+    """
     lang, doc = F.col("lang"), F.col("doc_id")
-    text = F.when(F.col("n_chars") >= 400, F.col("text"))
     address = F.struct(F.struct(
         F.concat(F.lit("Town "), F.col("source")).alias("addressLocality"),
         F.lit("Region").alias("addressRegion"),
@@ -194,8 +196,8 @@ def ashby_bodies(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.lit("Salary").alias("compensationType"),
                  F.col("n_chars").cast("double").alias("minValue"),
                  F.lit(None).cast("double").alias("maxValue")))
-    job = F.struct(
-        doc.cast("string").alias("id"),
+    job = lambda job_id, text: F.struct(
+        job_id.alias("id"),
         F.concat(F.lit(" "), filled(TITLES, doc, F.col("source")), F.lit("\t")).alias("title"),
         filled(LOCATIONS, doc, F.col("source")).alias("location"),
         F.when(lang == "en", "").otherwise(lang).alias("department"),
@@ -208,8 +210,12 @@ def ashby_bodies(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("<p>"), lang, F.lit("<br>&copy; "), F.col("source"), F.lit("</p>"))
         .alias("descriptionHtml"),
         address.alias("address"), F.struct(salary.alias("summaryComponents")).alias("compensation"))
+    key = doc.cast("string")
+    one = job(key, F.col("text"))
+    bare = job(F.concat(F.lit("n"), key), F.lit(None).cast("string"))
+    jobs = F.when(doc % 7 == 3, F.array(one, bare)).otherwise(F.array(one))
     return _landed(table(spark, folder, "documents"), "ashby", F.col("source"),
-                   F.to_json(F.struct(F.array(job).alias("jobs"))))
+                   F.to_json(F.struct(jobs.alias("jobs"))))
 
 
 def _landed(rows: DataFrame, ats: str, slug: Column, body: Column) -> DataFrame:
@@ -222,7 +228,7 @@ def run_attempts(spark: SparkSession, folder: str, second: bool) -> DataFrame:
 
     The language tells the system. Run 1 does not know the Spanish boards; in run 2 the
     boards labelled as low quality are gone. Toxic ones answer at the second attempt only.
-    Long documents repeat their posting under another title and without text.
+    Every third document repeats its posting under another title and without text.
     """
     docs = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id", "left")
     docs = docs.select(
@@ -233,14 +239,14 @@ def run_attempts(spark: SparkSession, folder: str, second: bool) -> DataFrame:
                   .otherwise(F.array(F.lit(0)))).alias("attempt"))
     if not second:
         docs = docs.where(F.col("lang") != "es")
-    text = F.when(F.col("n_chars") >= 400, F.col("text"))
+    text = F.col("text")
     place = (F.when(F.col("lang") == "en", "Austin, Texas").when(F.col("lang") == "fr", "Paris, FR")
              .when(F.col("lang") == "de", "Berlin, Germany (Remote)").otherwise("Madrid, ES"))
 
     def postings(one) -> Column:
         first = one(F.concat(F.lit("Engineer "), F.col("source")), text)
         again = one(F.concat(F.lit("Lead "), F.col("source")), F.lit(None).cast("string"))
-        return F.when(F.col("n_chars") > 3000, F.array(first, again)).otherwise(F.array(first))
+        return F.when(F.col("doc_id") % 3 == 0, F.array(first, again)).otherwise(F.array(first))
 
     doc = F.col("doc_id").cast("string").alias("id")
     lever = F.to_json(postings(lambda title, t: F.struct(
@@ -269,11 +275,16 @@ def run_attempts(spark: SparkSession, folder: str, second: bool) -> DataFrame:
 # --- orders, lineitem, customer as state and batches -------------------------------------
 
 
-def order_state(spark: SparkSession, folder: str) -> DataFrame:
-    """Stored jobs: the orders that are open or finished; open ones were hashed with a text."""
+def order_state(spark: SparkSession, folder: str, every: bool = False) -> DataFrame:
+    """Stored jobs: the orders that are open or finished, or all; open ones were hashed with a text.
+
+    For the merges, orders in neither status are what the batch brings anew.
+    """
     title, company = F.col("o_orderstatus"), F.lit("orders")
     text = F.when(F.col("o_orderstatus") == "O", F.col("o_orderpriority"))
-    orders = table(spark, folder, "orders").where(F.col("o_orderstatus").isin("O", "F"))
+    orders = table(spark, folder, "orders")
+    if not every:
+        orders = orders.where(F.col("o_orderstatus").isin("O", "F"))
     return schemas.JOBS.conform(orders.select(
         F.concat(F.lit("lever:"), F.col("o_orderkey").cast("string")).alias("job_id"),
         F.lit("lever").alias("ats"), F.lit("lever:orders").alias("company_id"),

@@ -282,18 +282,20 @@ GREENHOUSE = payload(f"""
     FROM pages)""", "greenhouse")
 
 ASHBY = payload(f"""
-  rows AS (SELECT CAST(doc_id AS VARCHAR) AS id, source AS slug, source, lang,
+  rows AS (SELECT CASE WHEN bare THEN 'n' ELSE '' END || doc_id AS id, source AS slug, source, lang,
       {filled(LOCATIONS, 'doc_id', 'source')} AS loc,
       {strip(filled(TITLES, 'doc_id', 'source'))} AS title,
       CAST(NULL AS VARCHAR) AS company_name,
-      CASE WHEN n_chars >= 400 AND text <> '' THEN text
+      CASE WHEN NOT bare AND text <> '' THEN text
            ELSE lang || chr(10) || '© ' || source END AS description_text,
       lang IN ('de', 'fr') AS flag,
       CASE WHEN lang = 'en' THEN source ELSE lang END AS department,
       {employment(filled(COMMITMENTS, 'doc_id', "''"))} AS employment_type,
       n_chars AS min_salary, NULL AS max_salary,
-      'https://jobs.ashbyhq.com/' || source || '/' || doc_id || '/application' AS apply_url
-    FROM documents WHERE lang <> 'es')""", "ashby",
+      'https://jobs.ashbyhq.com/' || source || '/' || CASE WHEN bare THEN 'n' ELSE '' END || doc_id
+        || '/application' AS apply_url
+    FROM documents, (VALUES (false), (true)) v(bare)
+    WHERE lang <> 'es' AND (NOT bare OR doc_id % 7 = 3))""", "ashby",
     city="coalesce(city, 'Town ' || source)", state="coalesce(state, 'Region')",
     country="coalesce(country, CASE lang WHEN 'en' THEN 'US' WHEN 'fr' THEN 'CA' WHEN 'de' THEN 'DE' END)")
 
@@ -302,10 +304,10 @@ ASHBY = payload(f"""
 RUNS = f"""
   docs AS (SELECT *, source || '-' || doc_id AS slug,
       CASE lang WHEN 'en' THEN 'lever' WHEN 'fr' THEN 'greenhouse' ELSE 'ashby' END AS ats,
-      lang <> 'es' AS in_1, coalesce(quality, 1) <> 0 AS in_2, n_chars > 3000 AS twice,
+      lang <> 'es' AS in_1, coalesce(quality, 1) <> 0 AS in_2, doc_id % 3 = 0 AS twice,
       CASE lang WHEN 'en' THEN 'Austin, Texas' WHEN 'fr' THEN 'Paris, FR'
         WHEN 'de' THEN 'Berlin, Germany (Remote)' ELSE 'Madrid, ES' END AS loc,
-      CASE WHEN n_chars >= 400 THEN CASE lang WHEN 'fr' THEN {strip('text')} ELSE text END END AS body
+      CASE lang WHEN 'fr' THEN {strip('text')} ELSE text END AS body
     FROM documents LEFT JOIN labels USING (doc_id)),
   seen AS (SELECT *, CASE WHEN twice AND NOT (in_1 AND in_2) THEN 'Lead ' ELSE 'Engineer ' END
       || source AS title, twice AND NOT (in_1 AND in_2) AS bare
@@ -460,9 +462,9 @@ ORACLES = {
           count(*) FILTER (action = 'update') AS rows_updated,
           count(*) FILTER (action = 'touch') AS rows_touched FROM acted""",
     "purge_stale": f"""SELECT 'lever:' || o_orderkey AS job_id, {EPOCH} AS last_seen_at FROM orders
-        WHERE o_orderstatus IN ('O', 'F') AND {EPOCH} >= {CUTOFF}""",
+        WHERE {EPOCH} >= {CUTOFF}""",
     "purge_count": f"""SELECT 'lever' AS ats, count(*) AS purged FROM orders
-        WHERE o_orderstatus IN ('O', 'F') AND {EPOCH} < {CUTOFF}""",
+        WHERE {EPOCH} < {CUTOFF}""",
     "meta_put_get": f"""WITH e AS (SELECT CAST(o_custkey AS VARCHAR) AS key, CAST(max({EPOCH}) AS VARCHAR) AS value
           FROM orders GROUP BY 1),
         m AS (SELECT CAST(c_custkey AS VARCHAR) AS key, c_mktsegment AS value FROM customer)
@@ -491,6 +493,10 @@ ORACLES = {
     "full_run_stats": FULL_RUN_STATS,
     "full_run_totals": FULL_RUN_TOTALS,
     "incremental_feed": FEED,
+    "incremental_feed_jobs": FULL_RUN,
+    "registry_extra_board": """SELECT DISTINCT 'pages' AS ats, slug FROM (
+        SELECT regexp_extract(url, 'https?://[a-z.]+\\.example\\.(?:com|net|org)/([a-z]+)/[0-9]+', 1) AS slug
+        FROM pages) WHERE slug <> ''""",
     "discovery_run_index": f"WITH {MERGED_SLUGS.replace('FROM b WHERE', 'FROM (SELECT DISTINCT ats, label AS slug FROM boards) WHERE')} SELECT * FROM merged",
     "discovery_run_aggregator": f"""WITH {BOARDS}, one AS (SELECT *, row_number() OVER (PARTITION BY label
           ORDER BY length(url), CAST(page_id AS VARCHAR)) AS rn FROM boards),

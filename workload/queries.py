@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -341,13 +342,13 @@ CUTOFF = 883_612_800  # 1998-01-01
 
 @query
 def purge_stale(spark, folder):
-    return merge.purge_stale(inputs.order_state(spark, folder), CUTOFF).select(
+    return merge.purge_stale(inputs.order_state(spark, folder, every=True), CUTOFF).select(
         "job_id", "last_seen_at")
 
 
 @query
 def purge_count(spark, folder):
-    return merge.count_stale(inputs.order_state(spark, folder), CUTOFF)
+    return merge.count_stale(inputs.order_state(spark, folder, every=True), CUTOFF)
 
 
 @query
@@ -453,6 +454,30 @@ def incremental_feed(spark, folder):
     return store.read(COMPANIES)
 
 
+@query
+def incremental_feed_jobs(spark, folder):
+    """Both runs landed in one micro-batch, on a store that has versions; jobs afterwards."""
+    landed = scratch_path(spark, "landed")
+    store = StateStore(spark, scratch_path(spark, "feed"))
+    runs = [inputs.run_attempts(spark, folder, second).withColumn(
+        "probed_at", F.lit(now).cast("bigint"))
+        for second, now in ((False, inputs.RUN_1), (True, inputs.RUN_2))]
+    scrape.run_scrape(runs[0].drop("probed_at").where("false"), store, inputs.RUN_1 - 1)
+    runs[1].unionByName(runs[0]).write.parquet(landed)
+    feed.start_feed(feed.read_feed(spark, landed), store,
+                    scratch_path(spark, "checkpoint")).awaitTermination()
+    return store.read(JOBS)
+
+
+@query
+def registry_extra_board(spark, folder):
+    """Slugs of a further system whose URL pattern starts with a wildcard."""
+    extra = replace(boards.LEVER, ats="pages", url_literal=None,
+                    url_pattern=r"https?://[a-z.]+\.example\.(?:com|net|org)/([a-z]+)/[0-9]+")
+    records = table(spark, folder, "pages").select(F.col("url").alias("line"))
+    return url_index.slugs_in_records(records, [extra, boards.LEVER])
+
+
 @query
 def discovery_run_index(spark, folder):
     result = discovery_plan.discover_from_index(
