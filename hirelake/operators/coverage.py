@@ -50,9 +50,16 @@ def by_count(counts: DataFrame) -> DataFrame:
     return counts.orderBy(F.col("job_count").desc(), "company_name")
 
 
-def external_counts(postings: DataFrame) -> DataFrame:
-    """(company_name, job_count) of another source's postings, for all companies at once."""
-    return jobs_per_company(postings)
+def external_counts(postings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(company_name, job_count) of the wanted companies in another source's postings.
+
+    Names have to be equal; a company without postings counts 0. Postings are reduced to
+    wanted names before they are counted.
+    """
+    names = wanted.where(F.col("company_name").isNotNull()).select("company_name").distinct()
+    found = jobs_per_company(postings.join(names, "company_name", "left_semi"))
+    return names.join(found, "company_name", "left").select(
+        "company_name", F.coalesce("job_count", F.lit(0)).alias("job_count"))
 
 
 def compare_counts(ours: DataFrame, theirs: DataFrame) -> DataFrame:

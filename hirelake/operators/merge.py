@@ -50,21 +50,39 @@ def compare_hash(mode: str = "reference") -> Column:
     """What an incoming row is compared by.
 
     'reference': hash without the description, although the stored hash has it; rows with
-    a description therefore count as updates on every run. 'full': the row's own hash.
+    a description therefore count as updates on every run. 'full': the row's own hash and its
+    whole description, as the hash covers the first 500 characters only.
     """
     if mode == "full":
-        return F.col("content_hash")
+        return _full_hash(F.col("content_hash"), F.col("description_text"))
     if mode != "reference":
         raise ValueError(f"unknown hash mode {mode!r}")
     slug = F.expr("substring(company_id, instr(company_id, ':') + 1)")
     return content_hash(F.col("title"), slug, F.col("location_raw"))
 
 
+def _full_hash(content: Column, description: Column) -> Column:
+    return F.concat(content, F.sha2(F.coalesce(description, F.lit("")), 256))
+
+
+def stored_hashes(mode: str = "reference") -> Column:
+    """The values of compare_hash that make a row equal to a stored job.
+
+    A batch row without a description leaves the stored one, so in 'full' mode it is equal
+    to a job whose hash was taken without one, whatever text is kept.
+    """
+    content = F.substring("content_hash", 1, 16)
+    if mode == "full":
+        return F.array_distinct(F.array(_full_hash(content, F.col("description_text")),
+                                        _full_hash(content, F.lit(None).cast("string"))))
+    return F.array(content)
+
+
 def classify(incoming: DataFrame, state: DataFrame, hash_mode: str = "reference") -> DataFrame:
     """Incoming rows with `action`: new, update or touch. Ids may repeat any number of times."""
-    stored = state.select("job_id", F.substring("content_hash", 1, 16).alias("_stored"),
+    stored = state.select("job_id", stored_hashes(hash_mode).alias("_stored"),
                           F.lit(True).alias("_known"))
-    same = F.coalesce(F.col("_stored") == compare_hash(hash_mode), F.lit(False))
+    same = F.coalesce(F.array_contains("_stored", compare_hash(hash_mode)), F.lit(False))
     action = F.when(F.col("_known").isNull(), NEW).when(same, TOUCH).otherwise(UPDATE)
     return (left_join_unique(incoming, stored, "job_id")
             .withColumn("action", action).drop("_stored", "_known"))
@@ -172,7 +190,7 @@ def fold_batch(incoming: DataFrame, state: DataFrame, order: Iterable[str] = ("p
         *_first_and_last(F.struct(at, *_KEPT), F.struct(at, *_REPLACED),
                          F.when(described, F.struct(at, "description_text")), F.lit(True)),
         F.count("*").alias("n_rows"))
-    stored = state.select("job_id", F.substring("content_hash", 1, 16).alias("_hash"),
+    stored = state.select("job_id", F.explode(stored_hashes(hash_mode)).alias("_hash"),
                           F.lit(True).alias("_same"))
     written = F.col("_same").isNull()
     folded = groups.join(stored, ["job_id", "_hash"], "left").groupBy("job_id").agg(

@@ -44,7 +44,7 @@ def stored(spark, tmp_path):
 
 
 # Queries that run jobs on the way to their result; their parts are covered below.
-WRITERS = {"full_run", "full_run_stats", "full_run_totals", "incremental_feed", "discovery_run_index",
+WRITERS = {"incremental_feed_jobs", "full_run", "full_run_stats", "full_run_totals", "incremental_feed", "discovery_run_index",
            "discovery_run_aggregator", "validation_run", "state_snapshot", "raw_set_roundtrip",
            "slug_files", "url_index_scan"}
 
