@@ -1,6 +1,5 @@
 """Goldens of the scalar functions."""
 
-import hashlib
 import sys
 import unicodedata
 from urllib.parse import unquote
