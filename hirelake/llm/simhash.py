@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirelake.llm import resemblance
 from hirelake.llm.common import documents, keep_rows, mark, slices, stage
 from hirelake.llm.components import components
 
@@ -212,10 +213,56 @@ def simhash_dedup(docs: DataFrame, words: int = 4, max_bits: int = 4, longest: i
         "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, words: int = 4, max_bits: int = 4, longest: int = LONGEST,
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row of the smallest id of each component, with all its columns; null ids come last."""
-    rows = _grouped(docs, words, max_bits, longest, id_col, text_col)
-    alike = rows.groupBy("root", "id", "mark").agg(F.count("*").alias("n"))
+def _resembling(docs: DataFrame, words: int, max_bits: int, similarity: float, longest: int,
+                id_col: str, text_col: str) -> DataFrame:
+    """(id, mark, label) of each row: groups by fingerprints, joined by those of like shingle sets."""
+    def hashes(text: str | None) -> np.ndarray:
+        return shingle_hashes(text or "", words)
+
+    def prints(batches) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            made = [hashes(t) for t in batch.column("text").to_pylist()]
+            sets = [np.unique(h) for h in made]
+            yield pa.RecordBatch.from_pydict({
+                "id": batch.column("id"), "mark": batch.column("mark"),
+                "fp": pa.array([_signed(fingerprint(h)) for h in made], pa.int64()),
+                "node": pa.array([resemblance.set_name(s) for s in sets], pa.int64()),
+                "bands": pa.array([resemblance.band_keys(s) for s in sets], pa.list_(pa.int64()))})
+
+    texts = documents(docs, id_col, text_col).withColumn("mark", mark(F.col("text")))
+    rows = stage(texts.mapInArrow(
+        prints, "id long, mark long, fp long, node long, bands array<long>"), "fingerprints")
+    # Sets under one fingerprint, or under linked ones, are connected through the least of them.
+    roots = components(links(rows.select("fp").distinct(), max_bits, longest))
+    held = rows.select("fp", "node").distinct()
+    held = stage(held.join(roots, held.fp == roots.node, "left").select(
+        held.node, F.coalesce("root", "fp").alias("root")), "linked-sets")
+    least = held.groupBy("root").agg(F.min("node").alias("least"))
+    known = stage(held.join(least, "root").select(F.col("node").alias("a"), F.col("least").alias("b")),
+                  "links")
+    labels = stage(known.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")), "labels")
+
+    one_each = rows.groupBy("node").agg(F.first("bands").alias("bands"))
+    posts = stage(resemblance.shared_bands(one_each), "posts")
+    wanted = posts.select("node").distinct().join(
+        rows.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("one")), "node").select(
+        F.col("one.id").alias("own_id"), F.col("one.mark").alias("own_mark"))
+    same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark"))
+    sets = resemblance.shingle_sets(texts.join(wanted, same, "left_semi").select("text"), hashes)
+    sets = stage(sets.dropDuplicates(["node"]), "shingle-sets")
+    labels = resemblance.connected(posts, labels, known, sets, similarity)
+    return rows.select("id", "mark", "node").join(labels, "node").select("id", "mark", "label")
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 5, max_bits: int = 4, similarity: float = 0.8,
+                     longest: int = LONGEST, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """The row of the smallest id of each group, with all its columns; null ids come last.
+
+    Rows are linked if their fingerprints are, or if the Jaccard similarity of their sets of
+    shingles is at least `similarity`; texts without words have equal sets.
+    """
+    rows = _resembling(docs, words, max_bits, similarity, longest, id_col, text_col)
+    alike = rows.groupBy("label", "id", "mark").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "n")).alias("w")
-    return keep_rows(docs, alike.groupBy("root").agg(first).select("w.*"), id_col, text_col)
+    return keep_rows(docs, alike.groupBy("label").agg(first).select("w.*"), id_col, text_col)

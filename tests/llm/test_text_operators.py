@@ -155,12 +155,49 @@ def test_simhash_dedup(spark, docs, nothing):
     want = [(d, f"{prints[i]:016x}", least[at[i]]) for i, (d, _) in enumerate(ROWS)]
     assert multiset(simhash.simhash_dedup(docs).collect()) == multiset(want)
     assert simhash.simhash_dedup(nothing).collect() == []
-    kept = simhash.keep_one_of_each(docs)
-    assert kept.columns == docs.columns and kept.count() == len(set(at.values()))
     with pytest.raises(ValueError):
         simhash.simhash_dedup(docs, max_bits=5)
 
 
+def plain_groups(texts, words=5):
+    """Linked by fingerprints of at most 4 differing bits, or by sets of shingles at 0.8 or more."""
+    def shingles(text):
+        own = (text or "").encode().lower().split()
+        return {b" ".join(own[i:i + words]) for i in range(max(1, len(own) - words + 1))} if own else set()
+    prints, sets = [plain_fingerprint(t, words) for t in texts], [shingles(t) for t in texts]
+    return joined(range(len(texts)), [
+        (i, j) for i in range(len(texts)) for j in range(i)
+        if (prints[i] ^ prints[j]).bit_count() <= 4 or sets[i] == sets[j]
+        or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])])
+
+
+def edited(seed, words, share):
+    own = random.Random(seed)
+    return " ".join(f"new{own.randrange(10 ** 6)}" if own.random() < share else w for w in words)
+
+
+def test_one_of_each_group_of_near_copies(spark, docs, nothing):
+    """Edited copies of a few texts; chains of them; texts that share no more than a part."""
+    words = [f"w{i * i % 977}" for i in range(400)]
+    texts = [t for _, t in ROWS] + [edited(s, words, share) for s in range(12)
+                                    for share in (0.005, 0.015, 0.03, 0.08)]
+    for step in range(0, 120, 12):  # neighbours of the chain are alike, its ends are not
+        texts.append(" ".join([f"x{i}" for i in range(step, step + 130)]))
+    texts += [" ".join(words[:200] + [f"y{s}-{i}" for i in range(200)]) for s in range(6)]
+    at = plain_groups(texts)
+    ids = [d for d, _ in ROWS] + list(range(1000, 1000 + len(texts) - len(ROWS)))
+    rows = spark.createDataFrame(list(zip(ids, texts, ["a"] * len(ids))),
+                                 "doc_id long, text string, label string").repartition(3)
+    least = {c: min((ids[i] for i in at if at[i] == c and ids[i] is not None), default=None)
+             for c in at.values()}
+    assert 10 < len(least) < len(texts) - 20
+    got = simhash.keep_one_of_each(rows)
+    assert got.columns == rows.columns
+    assert collections.Counter(r.doc_id for r in got.collect()) == collections.Counter(least.values())
+    assert simhash.keep_one_of_each(docs).columns == docs.columns
+    assert simhash.keep_one_of_each(nothing).collect() == []
+
+
 @pytest.mark.parametrize("longest", [1 << 16, 3])
 def test_links_of_dense_fingerprints(spark, longest):
     """All fingerprints near one centre, also through the finer keys, and some far ones."""
