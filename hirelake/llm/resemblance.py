@@ -5,10 +5,12 @@ bytes guarantee nothing. Candidates therefore come from bands of minima of permu
 hashes (32 bands of 7: a pair at 0.8 shares one with a chance of 0.9995, at 0.5 with 0.22), and
 every candidate is compared by its two whole sets.
 
-Texts of equal sets are one node. Within a band one node at a time is compared with all that are
-not connected to it yet, a node of the smallest connected part first, until the rest of the band
-is connected or all its nodes had their turn. A band of like texts so costs one comparison for each, not one
-for each pair; nothing is capped. Rows moved are ids until a pair has to be compared.
+Texts of equal sets are one node. Within a band nodes take turns: one, then 4, 16 and so on at
+once, those of the smallest connected parts first. A node whose turn it is is compared with all
+that are not connected to it yet; turns end when the rest of the band is connected. A band of
+like texts so costs one comparison for each, not one for each pair; only texts that share a band
+without being alike are compared one by one. Nothing is capped. Rows moved are ids until a pair
+has to be compared.
 """
 
 from __future__ import annotations
@@ -18,13 +20,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelake.llm.common import mixed, slices, stage
 from hirelake.llm.components import components
 
 BANDS, MINIMA = 32, 7
+# Nodes of one band that take their turn at once; Spark keeps so few on the map side already.
+MOST_TURNS = 512
 _FACTORS = mixed(np.arange(1, BANDS * MINIMA + 1, dtype=np.uint64)) | np.uint64(1)
 _PLACES = mixed(np.arange(1001, 1001 + MINIMA, dtype=np.uint64)) | np.uint64(1)
 _STEP = 256
@@ -101,20 +105,25 @@ def connected(posts: DataFrame, labels: DataFrame, known: DataFrame, sets: DataF
              .select(F.col("first.node").alias("a"), "b"))
     links = stage(known.union(_resembling(apart, sets, similarity)), "alike")
     labels = relabelled(links)
+    many = 1
     while True:
         named = stage(posts.join(labels, "node"), "posts")
-        parts = named.groupBy("band", "label").agg(F.count("*").alias("n"), F.min("node").alias("turn"))
-        turns = parts.groupBy("band").agg(
-            F.count("*").alias("parts"), F.min(F.struct("n", "turn", "label")).alias("next"))
-        turns = stage(turns.where("parts > 1").select(
-            "band", "next.turn", F.col("next.label").alias("own")), "turns")
+        parts = named.groupBy("band", "label").agg(F.count("*").alias("n"))
+        split = parts.groupBy("band").agg(F.count("*").alias("parts")).where("parts > 1")
+        place = F.row_number().over(Window.partitionBy("band").orderBy("n", "label", "node"))
+        turns = stage(
+            named.join(parts.join(split, "band"), ["band", "label"]).withColumn("place", place)
+            .where(F.col("place") <= many)
+            .select("band", F.col("node").alias("turn"), F.col("label").alias("own")), "turns")
         if turns.isEmpty():
             return labels
-        open_posts = named.join(turns, "band").where("node != turn")
-        pairs = open_posts.where("label != own").select(
-            F.col("node").alias("a"), F.col("turn").alias("b")).distinct()
+        pairs = named.join(turns, "band").where("label != own").select(
+            F.least("node", "turn").alias("a"), F.greatest("node", "turn").alias("b")).distinct()
         found = stage(_resembling(pairs, sets, similarity), "alike")
-        posts = stage(open_posts.select("band", "node"), "posts")
+        posts = named.join(turns.select("band").distinct(), "band", "left_semi").join(
+            turns.select("band", F.col("turn").alias("node")), ["band", "node"], "left_anti"
+        ).select("band", "node")
         if not found.isEmpty():
             links = links.union(found)
             labels = relabelled(links)
+        many = min(4 * many, MOST_TURNS)
