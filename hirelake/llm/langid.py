@@ -3,12 +3,14 @@
 A text is the average of the embeddings of its subwords: byte strings of 2, 3 and 4 that lie in
 one word, with its boundaries, hashed into buckets. Embeddings and softmax are trained on the
 driver by stochastic gradient descent over a sample of at most `per_language` labelled texts of
-at most `sample_bytes` bytes for each of the `most_languages` most frequent labels. Part of the
-sample calibrates a temperature, so that scores are probabilities, and the rejection threshold:
+each label that is not held out, whatever their length or the number of labels; what reaches the
+driver of a text are its bucket counts, made in Spark tasks. Every such label is learned. Part of
+the sample calibrates a temperature, so that scores are probabilities, and the rejection threshold:
 no calibration text that was classified rightly is rejected, and nothing of score 0.5 or more.
 
 Since the softmax is linear, embeddings are folded into one number per bucket and language
-before they are broadcast; each text is then read whole, once. Defined cases: a null text, or
+before they are broadcast, unless there are more languages than dimensions; each text is then
+read whole, once. Defined cases: a null text, or
 one without any letter, is `und` with score 0, as is every text if nothing is labelled; ties go
 to the first label in alphabetical order; repeated rows and null ids are predicted like others;
 other columns are never an input.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import slices, text_bytes
+from hirelake.llm.common import slices, stage, text_bytes
 
 ORDERS = (2, 3, 4)
 BUCKETS = 1 << 14  # for each order
@@ -70,8 +72,9 @@ def _row_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 @dataclass
 class Model:
     languages: list[str]
-    logits: np.ndarray  # of each bucket, for each language; the last bucket is nothing
+    weights: np.ndarray  # of each bucket, for each language; the last bucket is nothing
     bias: np.ndarray
+    softmax: np.ndarray | None = None  # if given, weights are embeddings: one row per dimension
     temperature: float = 1.0
     threshold: float = 0.0
 
@@ -80,13 +83,14 @@ class Model:
         if not self.languages:
             return np.full(len(texts), -1), np.zeros(len(texts))
         data, ends = text_bytes(texts)
-        total = np.zeros((len(texts), len(self.languages)))
+        total = np.zeros((len(texts), len(self.weights)))
         count = np.zeros(len(texts))
         for bucket in subwords(data, ends):
             count += _row_sums((bucket != NOTHING).astype(np.int64), ends)
-            for k in range(len(self.languages)):
-                total[:, k] += _row_sums(self.logits[k][bucket], ends)
-        return self.scores(total / np.maximum(count, 1)[:, None] + self.bias)
+            for k in range(len(self.weights)):
+                total[:, k] += _row_sums(self.weights[k][bucket], ends)
+        mean = total / np.maximum(count, 1)[:, None]
+        return self.scores((mean if self.softmax is None else mean @ self.softmax) + self.bias)
 
     def scores(self, logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         scaled = (logits - logits.max(axis=1, keepdims=True)) / self.temperature
@@ -95,25 +99,34 @@ class Model:
         return best, np.take_along_axis(odds, best[:, None], 1)[:, 0] / odds.sum(axis=1)
 
 
-def train(texts: list[str], labels: list[str], dim: int = 16, steps: int = 400, batch: int = 64,
-          rate: float = 4.0, seed: int = 7) -> Model:
-    """About so many steps of stochastic gradient descent; every fifth text calibrates."""
+def bucket_counts(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text, its distinct buckets and how often each occurs."""
+    data, ends = text_bytes(texts)
+    orders = list(subwords(data, ends))
+    found = []
+    for a, b in zip(ends[:-1], ends[1:]):
+        own = np.concatenate([x[a:b] for x in orders])
+        buckets, n = np.unique(own[own != NOTHING], return_counts=True)
+        found.append((buckets.astype(np.uint16), n.astype(np.uint32)))
+    return found
+
+
+def train(found: list[tuple[np.ndarray, np.ndarray]], labels: list[str], dim: int = 16,
+          steps: int = 400, batch: int = 64, rate: float = 4.0, seed: int = 7) -> Model:
+    """About so many steps of stochastic gradient descent over bucket counts.
+
+    Every fifth text calibrates, unless it is all that the others have left of its label.
+    """
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((0, NOTHING + 1)), np.zeros(0))
-    wanted = np.array([languages.index(x) for x in labels])
-    found = []  # per text: distinct buckets and their share
-    for start in range(0, len(texts), 64):
-        data, ends = text_bytes(pa.array(texts[start:start + 64], pa.string()))
-        orders = list(subwords(data, ends))
-        for a, b in zip(ends[:-1], ends[1:]):
-            own = np.concatenate([x[a:b] for x in orders])
-            buckets, n = np.unique(own[own != NOTHING], return_counts=True)
-            found.append((buckets, n / max(1, n.sum())))
+    number = {x: i for i, x in enumerate(languages)}
+    wanted = np.array([number[x] for x in labels])
     random = np.random.default_rng(seed)
-    order = random.permutation(len(texts))
-    held, own = order[:len(texts) // 5], order[len(texts) // 5:]
-    own = own if len(own) else order
+    order = random.permutation(len(found))
+    held, own = order[:len(found) // 5], order[len(found) // 5:]
+    only = ~np.isin(wanted[held], wanted[own])
+    held, own = held[~only], np.concatenate([own, held[only]])
     embeddings = random.normal(0, 0.1, (NOTHING, dim))
     softmax = random.normal(0, 0.1, (dim, len(languages)))
     bias = np.zeros(len(languages))
@@ -121,7 +134,7 @@ def train(texts: list[str], labels: list[str], dim: int = 16, steps: int = 400,
     def averages(some: np.ndarray):
         rows = np.repeat(np.arange(len(some)), [len(found[i][0]) for i in some])
         buckets = np.concatenate([found[i][0] for i in some])
-        shares = np.concatenate([found[i][1] for i in some])
+        shares = np.concatenate([found[i][1] / max(1, found[i][1].sum()) for i in some])
         out = np.stack([np.bincount(rows, shares * embeddings[buckets, d], len(some))
                         for d in range(dim)], 1)
         return out, rows, buckets, shares
@@ -144,10 +157,14 @@ def train(texts: list[str], labels: list[str], dim: int = 16, steps: int = 400,
             at, place = np.unique(buckets, return_inverse=True)
             embeddings[at] -= step * len(part) * np.stack(
                 [np.bincount(place, shares * back[rows, d], len(at)) for d in range(dim)], 1)
-    folded = np.vstack([embeddings @ softmax, np.zeros(len(languages))]).T.copy()
-    model = Model(languages, folded, bias)
+    folded = len(languages) <= dim
+    weights = embeddings @ softmax if folded else embeddings
+    weights = np.vstack([weights, np.zeros(weights.shape[1])]).T.copy()
+    model = Model(languages, weights, bias, None if folded else softmax)
     if len(held):
-        _calibrate(model, averages(held)[0] @ softmax + bias, wanted[held])
+        parts = np.array_split(held, -(-len(held) // 512))
+        means = np.vstack([averages(part)[0] for part in parts])
+        _calibrate(model, means @ softmax + bias, wanted[held])
     return model
 
 
@@ -171,29 +188,40 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = 600,
-           sample_bytes: int = 16_000, most_languages: int = 100) -> tuple[list[str], list[str]]:
-    """A bounded sample of labelled texts that are not held out, by a hash of the id.
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = 600
+           ) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[str]]:
+    """Bucket counts and labels of texts that are not held out: so many of each label, or all.
 
-    One narrow pass counts the labels, one reads the rows whose hash falls below their label's
-    share; the surplus of that is cut by hash order.
+    One pass names the rows by a hash of id and text (rows alike in both count once) and counts
+    each label's names. Names below their label's share are drawn, the surplus is cut by hash
+    order. A second pass reads the drawn rows; only their bucket counts leave the tasks.
     """
     usable = docs.where(docs[lang_col].isNotNull() & docs[text_col].isNotNull()
                         & ~held_out(docs[id_col])).select(
         docs[id_col].cast("string").alias("id"), docs[lang_col].alias("lang"),
-        docs[text_col].alias("text"))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(
-        most_languages).collect()
-    if not counts:
-        return [], []
-    share = F.create_map(*(F.lit(x) for r in counts
-                           for x in (r.lang, min(1.0, 3 * per_language / r["count"]))))[F.col("lang")]
-    place = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    rows = usable.where((F.octet_length("text") <= sample_bytes) & (place < share))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id", "text"), "id", "text"))
-    some = rows.withColumn("nth", nth).where(F.col("nth") <= per_language).orderBy("lang", "nth")
-    picked = some.select("text", "lang").collect()
-    return [r.text for r in picked], [r.lang for r in picked]
+        docs[text_col].alias("text")).select("lang", "text", F.xxhash64("id", "text").alias("name"))
+    names = stage(usable.select("lang", "name").distinct(), "label-names")
+    counts = names.groupBy("lang").agg(F.count("*").alias("n"))
+    place = F.pmod("name", F.lit(1 << 20)) / float(1 << 20)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("name"))
+    drawn = names.join(F.broadcast(counts), "lang").where(place < 3 * per_language / F.col("n"))
+    drawn = drawn.withColumn("nth", nth).where(F.col("nth") <= per_language).select("lang", "name")
+    rows = usable.join(F.broadcast(drawn), ["lang", "name"], "left_semi")
+
+    def task(batches) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = bucket_counts(batch.column("text"))
+            yield pa.RecordBatch.from_pydict({
+                "lang": batch.column("lang"), "name": batch.column("name"),
+                "buckets": pa.array([x.tobytes() for x, _ in found], pa.binary()),
+                "counts": pa.array([n.tobytes() for _, n in found], pa.binary())})
+
+    lang_type = rows.schema["lang"].dataType.simpleString()
+    picked = rows.mapInArrow(task, f"lang {lang_type}, name long, buckets binary, counts binary"
+                             ).dropDuplicates(["lang", "name"]).collect()
+    picked.sort(key=lambda r: (r.lang, r.name))
+    return ([(np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.counts, np.uint32))
+             for r in picked], [r.lang for r in picked])
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -408,6 +408,35 @@ def test_language_id(spark, docs, nothing):
     assert langid.identify(nothing, model).collect() == []
 
 
+def test_every_label_is_learned(spark):
+    """More than a hundred labels; one with long texts only, one with a single text."""
+    own = random.Random(8)
+
+    def texts(label, n_words, n=8):
+        letters = "".join(chr(0x4E00 + 16 * label + i) for i in range(16))
+        words = ["".join(own.choice(letters) for _ in range(3)) for _ in range(12)]
+        return [" ".join(own.choice(words) for _ in range(n_words)) for _ in range(n)]
+
+    by_label = {f"l{k:03}": texts(k, 30) for k in range(120)}
+    by_label["long"] = texts(200, 3000)
+    by_label["single"] = texts(201, 30, 1)
+    assert min(len(t.encode()) for t in by_label["long"]) > 16_000
+    free = (i for i in range(10_000) if zlib.crc32(str(i).encode()) % 5)
+    rows = [(next(free), t, label) for label, own_texts in by_label.items() for t in own_texts]
+    rows += [(next(free), None, "null text"), (next(free), "no label", None)] + 3 * rows[-1:]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    found, labels = langid.sample(table, "doc_id", "text", "lang")
+    assert collections.Counter(labels) == {x: len(t) for x, t in by_label.items()}
+    assert collections.Counter(langid.sample(table, "doc_id", "text", "lang", per_language=2)[1]) == {
+        x: min(2, len(t)) for x, t in by_label.items()}
+    model = langid.train(found, labels)
+    assert model.languages == sorted(by_label)
+    wanted = {r[0]: r[2] for r in rows if r[1] and r[2]}
+    said = {r.doc_id: r.lang_pred for r in langid.identify(table, model).collect()}
+    right = collections.Counter(wanted[i] for i in wanted if said[i] == wanted[i])
+    assert right["long"] == 8 and right["l000"] == 8 and sum(right.values()) >= 0.95 * len(wanted)
+
+
 def test_subwords_stay_in_their_text():
     texts = pa.array(["Hello, you", "", None, "ñ", "ab"])
     alone = [langid.text_bytes(texts.slice(i, 1)) for i in range(len(texts))]
