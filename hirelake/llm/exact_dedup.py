@@ -3,7 +3,10 @@
 The index is a Parquet table bucketed and sorted by digest. A batch is reduced to one row per
 digest (combined on the map side, so a group of any size is one row per task), its digests meet
 the index in a sort-merge anti-join that shuffles only the batch, and the new ones are appended
-with their batch number. Only DataFrame operations; texts are read once and never shuffled.
+with their batch number; how often the batch has those that the index holds goes to a second
+table of the same buckets. Documents can be added as several batches, largest ids first; groups
+are read from the index after the last. Only DataFrame operations; texts are read once and never
+shuffled.
 
 Texts are equal if identical after lower-casing A-Z only; a null text is empty. Of equal texts
 in a batch the largest id stays; one that an earlier batch holds keeps the index's id. Null ids
@@ -21,10 +24,13 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelake.llm.common import keep_rows, mark
+from hirelake.llm.common import keep_rows, mark, stage
 from hirelake.session import scratch_path
 
 _DDL = "digest BINARY, keep_id BIGINT, n BIGINT, batch BIGINT"
+_MORE_DDL = "digest BINARY, n BIGINT, batch BIGINT"
+# Batches that the documents of one call are added as.
+BATCHES = 2
 
 
 def digest(text: Column) -> Column:
@@ -49,12 +55,15 @@ class DigestIndex:
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark, self.path, self.buckets = spark, path, buckets
         self.name = f"digests_{hashlib.md5(path.encode()).hexdigest()}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({_DDL}) USING parquet CLUSTERED BY "
-                  f"(digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'")
+        self.more_path, self.more_name = f"{path}-more", f"{self.name}_more"
+        for name, ddl, at in ((self.name, _DDL, path), (self.more_name, _MORE_DDL, self.more_path)):
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet CLUSTERED BY "
+                      f"(digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{at}'")
 
-    def keep_new(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def keep_new(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 batches: int = 1) -> DataFrame:
         """Append likewise, and the rows of docs that stay: one for each new text."""
-        decided = self._decide(docs, id_col, text_col).where("kept")
+        decided = self._decide(docs, id_col, text_col, batches).where("kept")
         alike = decided.groupBy("text_sha256", "id", "mark").agg(F.count("*").alias("n"))
         winners = alike.groupBy("text_sha256").agg(F.max(F.struct("id", "mark", "n")).alias("w"))
         return keep_rows(docs, winners.select("w.*"), id_col, text_col)
@@ -62,44 +71,77 @@ class DigestIndex:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """Append the digests of docs that are new; one decision per row of docs.
+    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            batches: int = 1) -> DataFrame:
+        """Append the digests of docs that are new, in so many batches; one decision per row of docs.
 
         (id, keep_id, group_size, kept, text_sha256); group_size counts earlier batches too.
         """
-        return self._decide(docs, id_col, text_col).drop("mark").withColumnRenamed("id", id_col)
+        return self._decide(docs, id_col, text_col, batches).drop("mark").withColumnRenamed("id", id_col)
 
-    def _decide(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        rows = docs.select(docs[id_col].cast("long").alias("id"), mark(docs[text_col]).alias("mark"),
-                           digest(docs[text_col]).alias("digest"))
-        groups = rows.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("n"))
-        batch = (self.read().agg(F.max("batch")).first()[0] or 0) + 1
-        known = self.read().where(F.col("batch") < batch)
-        new = groups.join(known.hint("merge"), "digest", "left_anti")
+    def _last_batch(self) -> int:
+        tables = (self.read(), self.spark.table(self.more_name))
+        return max(t.agg(F.max("batch")).first()[0] or 0 for t in tables)
+
+    def _write(self, rows: DataFrame, name: str, path: str) -> None:
         # One file per bucket: the rows are dealt out as the buckets are.
-        new = new.withColumn("batch", F.lit(batch).cast("long")).repartition(self.buckets, "digest")
         with _setting(self.spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-            (new.write.mode("append").format("parquet").option("path", self.path)
-             .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
-        fresh = self.read().where(F.col("batch") == batch).select(
-            "digest", "keep_id", "n", F.lit(True).alias("fresh"))
-        before = known.join(groups.select("digest", F.col("n").alias("more")), "digest").select(
-            "digest", "keep_id", (F.col("n") + F.col("more")).alias("n"),
-            F.lit(False).alias("fresh"))
-        now = fresh.unionByName(before) if batch > 1 else fresh
+            (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
+             .option("path", path).bucketBy(self.buckets, "digest").sortBy("digest")
+             .saveAsTable(name))
+
+    def _append(self, rows: DataFrame, batch: int) -> None:
+        """The digests of rows(id, digest) that are new, and how often rows has the others."""
+        groups = rows.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count("*").alias("n"))
+        number = F.lit(batch).cast("long").alias("batch")
+        known = self.read().where(F.col("batch") < batch).select("digest").hint("merge")
+        self._write(groups.join(known, "digest", "left_semi").select("digest", "n", number),
+                    self.more_name, self.more_path)
+        self._write(groups.join(known, "digest", "left_anti").select("digest", "keep_id", "n", number),
+                    self.name, self.path)
+
+    def _decide(self, docs: DataFrame, id_col: str, text_col: str, batches: int) -> DataFrame:
+        rows = stage(docs.select(
+            docs[id_col].cast("long").alias("id"), mark(docs[text_col]).alias("mark"),
+            digest(docs[text_col]).alias("digest")), "digests")
+        before = last = self._last_batch()
+        for part in _largest_first(rows, batches):
+            last += 1
+            self._append(part, last)
+        own = F.col("batch") <= last
+        more = self.spark.table(self.more_name).where(own).groupBy("digest").agg(
+            F.sum("n").alias("more"))
+        now = self.read().where(own).join(more, "digest", "left").select(
+            "digest", "keep_id", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n"),
+            (F.col("batch") > before).alias("fresh"))
         kept = F.col("fresh") & F.col("id").eqNullSafe(F.col("keep_id"))
         return rows.join(now, "digest").select(
             "id", "keep_id", F.col("n").alias("group_size"), kept.alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"), "mark")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The decisions of one batch against an index of its own."""
+def _largest_first(rows: DataFrame, batches: int) -> list[DataFrame]:
+    """Rows by ranges of ids of about one size, the largest first; null ids go with the smallest."""
+    shares = [i / batches for i in range(1, batches)]
+    cuts = shares and rows.agg(F.percentile_approx("id", shares)).first()[0]
+    parts, left = [], F.lit(True)
+    for cut in sorted(set(cuts or []), reverse=True):
+        parts.append(rows.where(left & (F.col("id") >= cut)))
+        left = F.coalesce(F.col("id") < cut, F.lit(True))
+    return [*parts, rows.where(left)]
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                batches: int = BATCHES, path: str | None = None) -> DataFrame:
+    """The decisions of some batches against the index at path, or one of its own."""
     spark = docs.sparkSession
-    return DigestIndex(spark, scratch_path(spark, "digest-index")).add(docs, id_col, text_col)
+    index = DigestIndex(spark, path or scratch_path(spark, "digest-index"))
+    return index.add(docs, id_col, text_col, batches)
 
 
-def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of docs for each distinct text, with all its columns."""
+def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  batches: int = BATCHES, path: str | None = None) -> DataFrame:
+    """One row of docs for each distinct text that the index at path, if given, did not hold."""
     spark = docs.sparkSession
-    return DigestIndex(spark, scratch_path(spark, "digest-index")).keep_new(docs, id_col, text_col)
+    index = DigestIndex(spark, path or scratch_path(spark, "digest-index"))
+    return index.keep_new(docs, id_col, text_col, batches)

@@ -126,6 +126,25 @@ def test_exact_dedup(spark, docs, nothing, tmp_path):
     assert "Exchange" not in plan  # the buckets are the partitioning
 
 
+def test_exact_dedup_in_batches(spark, docs, tmp_path):
+    """A batch meets a filled index; the decisions are those of one batch."""
+    one = exact_dedup.exact_dedup(docs, batches=1).collect()
+    for batches in (2, 5):
+        path = str(tmp_path / f"index{batches}")
+        assert multiset(exact_dedup.exact_dedup(docs, batches=batches, path=path).collect()) == multiset(one)
+        index = exact_dedup.DigestIndex(spark, path)
+        per_batch = {r.batch: r["count"] for r in index.read().groupBy("batch").count().collect()}
+        assert len(per_batch) >= 2 and sum(per_batch.values()) == len({r.text_sha256 for r in one})
+        more = spark.table(index.more_name).agg(F.sum("n")).first()[0]
+        assert more  # rows that met their text in the index
+        assert index.read().agg(F.sum("n")).first()[0] + more == len(ROWS)
+        assert exact_dedup.keep_distinct(docs, path=path).collect() == []
+    assert exact_dedup.keep_distinct(docs, batches=5).count() == len({r.text_sha256 for r in one})
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "thrice"), buckets=3)
+    row = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert [index.add(row).first().group_size for _ in range(3)] == [1, 2, 3]
+
+
 def plain_fingerprint(text, words):
     own = (text or "").encode().lower().split()
     shingles = [b" ".join(own[i:i + words]) for i in range(max(1, len(own) - words + 1))] if own else []
