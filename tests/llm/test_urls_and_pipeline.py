@@ -2,13 +2,15 @@
 
 import collections
 import re
+import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from test_text_operators import plain_groups
-from hirelake.llm import url_rules
+from test_text_operators import ascii_lower, plain_groups
+from hirelake.llm import langid, url_rules
 from hirelake.llm.queries import ORACLES, QUERIES, URL_RULES
 
 URLS = ["http://a.example.net/en/1?x=/de/", "HTTPS://WWW.Example.NET/de/", "http://example.com/de/",
@@ -100,3 +102,50 @@ def test_pipeline_stages(spark):
     sums = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(
         F.col("offset") + F.col("length")).alias("end"))
     assert sums.where("n != end or n > 2048").count() == 0
+
+
+def test_pipeline_keeps_what_a_plain_version_keeps(spark):
+    """Each stage on what its predecessor kept; only language decisions are the model's."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(texts) == docs.count()
+    said = langid.identify(docs, langid.fit(docs)).collect()
+    left = [{r.doc_id for r in said if not r.rejected}]
+
+    last = {}
+    for d in sorted(left[-1]):
+        last[ascii_lower(texts[d])] = d
+    left.append(set(last.values()))
+
+    ids = sorted(left[-1])
+    left.append({ids[c] for c in plain_groups([texts[d] for d in ids]).values()})
+
+    def words(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", ascii_lower(text))
+    windows = set()
+    for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect():
+        w = words(r.text)
+        windows |= {tuple(w[i:i + 10]) for i in range(max(1, len(w) - 9) if w else 0)}
+    sizes = {len(x) for x in windows}
+
+    def contaminated(text):
+        w = words(text)
+        return any(tuple(w[i:i + n]) in windows for n in sizes for i in range(len(w) - n + 1))
+    left.append({d for d in left[-1] if not contaminated(texts[d])})
+    # Every stage but the first removes something here, and most documents stay.
+    assert len(texts) >= len(left[0]) > len(left[1]) > len(left[2]) > len(left[3]) > len(texts) // 2
+
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = collections.Counter()
+    for d in left[-1]:
+        own = [*tokens.encode(texts[d], add_special_tokens=False).ids, 0]
+        cuts = [0, *range(len(own) % 2048 or 2048, len(own), 2048), len(own)]
+        for n, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[d, n, a, b - a, zlib.crc32(np.array(own[a:b], "<u4").tobytes())] += 1
+    packed = corpus_pipeline.run(spark, folder).select(
+        "doc_id", "piece", "start", "length", "ids_crc32")
+    assert collections.Counter(map(tuple, packed.collect())) == want
