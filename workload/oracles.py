@@ -484,6 +484,11 @@ ORACLES = {
           p AS (SELECT upper(substr(label, 1, 1)) || lower(substr(label, 2)) AS company_name, page_id FROM boards),
           w AS (SELECT company_name FROM p WHERE page_id % 5 = 0 UNION SELECT 'No Such')
         SELECT w.company_name, count(p.page_id) AS job_count FROM w LEFT JOIN p USING (company_name) GROUP BY 1""",
+    "external_count_all": f"""WITH {BOARDS},
+          p AS (SELECT upper(substr(label, 1, 1)) || lower(substr(label, 2)) AS company_name, page_id FROM boards),
+          w AS (SELECT company_name FROM p UNION SELECT 'No Such')
+        SELECT w.company_name, count(p.page_id) AS job_count FROM w LEFT JOIN p USING (company_name)
+        WHERE w.company_name IS NOT NULL GROUP BY 1""",
     "count_compare": f"WITH {COMPARED} {compared('ours')}",
     "compare_summary": f"""WITH {COMPARED}, c AS ({compared('ours')})
         SELECT count(*) AS sampled, count(diff) AS valid, round(avg(diff), 6) AS avg_diff,

@@ -389,6 +389,14 @@ def external_count(spark, folder):
     return coverage.external_counts(postings, wanted.union(unknown))
 
 
+@query
+def external_count_all(spark, folder):
+    """Aggregator postings of every company that a page names, and of one unknown."""
+    postings = inputs.aggregator_postings(spark, folder)
+    unknown = spark.createDataFrame([("No Such",)], "company_name string")
+    return coverage.external_counts(postings, postings.select("company_name").union(unknown))
+
+
 @query
 def count_compare(spark, folder):
     return coverage.compare_counts(
