@@ -10,7 +10,7 @@ from workload.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["external_count_all"])
+@pytest.mark.parametrize("name", ["external_count_all", "label_rules_text"])
 def test_equal_to_sql(spark, name):
     assert compare(spark, connect(FOLDER), FOLDER, name, QUERIES[name], ORACLES[name]) is None
 
@@ -21,3 +21,11 @@ def test_every_company_is_counted(spark):
     assert set(found) == names | {"No Such"} and found["No Such"] == 0
     assert sum(found.values()) == inputs.aggregator_postings(spark, FOLDER).where(
         "company_name is not null").count()
+
+
+def test_label_rules_read_every_row(spark):
+    count = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet").count()
+    found = QUERIES["label_rules_text"](spark, FOLDER).groupBy("source").count().collect()
+    assert dict(map(tuple, found)) == {
+        "p_type": count("part"), "p_name": count("part"), "text": count("documents"),
+        "literal": len(inputs.COMMITMENTS)}

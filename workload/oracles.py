@@ -398,6 +398,13 @@ ORACLES = {
     "employment_type": f"""WITH t AS (SELECT o_orderkey,
           {filled(COMMITMENTS, 'o_orderkey', "''")} AS raw FROM orders)
         SELECT o_orderkey, raw, {employment('raw')} AS employment_type FROM t""",
+    "label_rules_text": f"""WITH t AS (
+          SELECT 'p_type' AS source, p_partkey AS id, p_type AS raw FROM part
+          UNION ALL SELECT 'p_name', p_partkey, p_name FROM part
+          UNION ALL SELECT 'text', doc_id, split_part(text, chr(10), 1) FROM documents
+          UNION ALL SELECT 'literal', i, ([{quoted(COMMITMENTS)}])[i + 1]
+            FROM range({len(COMMITMENTS)}) AS r(i))
+        SELECT source, id, raw, {employment('raw')} AS employment_type, {level('raw')} AS level FROM t""",
     "content_hash": f"""SELECT doc_id,
           {hashed('split_part(text, chr(10), 1)', 'source', 'lang', 'text')} AS content_hash
         FROM documents""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,6 +134,21 @@ def employment_type(spark, folder):
         "employment_type", labels.employment_type(F.col("raw")))
 
 
+@query
+def label_rules_text(spark, folder):
+    """Both label rules over whole text columns, and over the literals of employment_type."""
+    part, docs = table(spark, folder, "part"), table(spark, folder, "documents")
+    parts = [
+        part.select(F.lit("p_type").alias("source"), F.col("p_partkey").alias("id"), F.col("p_type").alias("raw")),
+        part.select(F.lit("p_name"), "p_partkey", "p_name"),
+        docs.select(F.lit("text"), "doc_id", F.substring_index("text", "\n", 1)),
+        spark.createDataFrame([("literal", i, x) for i, x in enumerate(inputs.COMMITMENTS)],
+                              "source string, id long, raw string")]
+    return reduce(DataFrame.union, parts).select(
+        "source", "id", "raw", labels.employment_type(F.col("raw")).alias("employment_type"),
+        labels.experience_level(F.col("raw")).alias("level"))
+
+
 @query
 def content_hash(spark, folder):
     title = F.substring_index("text", "\n", 1)
