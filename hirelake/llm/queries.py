@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +13,16 @@ from hirelake.llm.decontaminate import find_contamination
 from hirelake.llm.exact_dedup import exact_dedup
 from hirelake.llm.langid import fit, held_out, identify
 from hirelake.llm.line_dedup import line_dedup
+from hirelake.llm.merkle import folded, lowered, merkle_manifest, proof
 from hirelake.llm.packing import pack
+from hirelake.llm.pieces import encode_decode
 from hirelake.llm.secrets import scan_secrets
 from hirelake.llm.simhash import simhash_dedup
 from hirelake.llm.substring_dedup import substring_dedup
 from hirelake.llm.suffix_dedup import suffix_dedup
 from hirelake.llm.url_rules import judge_urls
+from hirelake.llm.whitening import fit as fit_whitening
+from hirelake.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -233,3 +238,103 @@ SELECT doc_id, count(*) AS n_lines, count(often.key) AS n_dropped,
     AS kept_sha256
 FROM k LEFT JOIN often ON k.key = often.key GROUP BY doc_id
 """
+
+
+@query
+def op11_sentencepiece(spark, folder):
+    made = encode_decode(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    line = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return made.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), sha256_hex(line).alias("ids_sha256"),
+        sha256_hex(F.col("decoded")).alias("decoded_sha256"))
+
+
+@query
+def op12_merkle_manifest(spark, folder):
+    docs = table(spark, folder, "documents")
+    chosen = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 5 == 0
+    text = F.when(F.coalesce(chosen, F.lit(False)), lowered(docs["text"])).otherwise(docs["text"])
+    return merkle_manifest(docs, tampered={"text": text}).select(
+        "doc_id", "leaf", "subroot", "root", sha256_hex(proof(F.col("path"))).alias("proof_sha256"),
+        folded(F.col("path"), F.col("tampered_leaf")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
+def _merkle_sql(levels: int = 7, top_levels: int = 4, arity: int = 16) -> str:
+    """Trees of so many levels at most; nodes that are roots already go up unchanged."""
+    def tree(name: str, depth: int) -> str:
+        parts = []
+        for k in range(depth):
+            run = f"PARTITION BY grp, idx // {arity} ORDER BY idx ROWS BETWEEN"
+            parts.append(f"""{name}p{k} AS (
+  SELECT grp, idx, n,
+    coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name}{k}),
+{name}{k + 1} AS (
+  SELECT grp, idx // {arity} AS idx, (any_value(n) + {arity - 1}) // {arity} AS n,
+    CASE WHEN any_value(n) = 1 THEN any_value(digest)
+      ELSE sha256(string_agg(digest, '' ORDER BY idx)) END AS digest
+  FROM {name}{k} GROUP BY grp, idx // {arity})""")
+        return ",\n".join(parts)
+
+    def value(column: str) -> str:
+        return f"coalesce(strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(value, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    # The checksum bit by bit: a byte is mixed in, then eight shifts (marked -1).
+    crc = """xor(4294967295, list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+      lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384)
+        ELSE a >> 1 END, 4294967295::BIGINT))"""
+
+    def steps(name: str, depth: int, idx: str, grp: str) -> str:
+        return "\n".join(
+            f"  JOIN {name}p{k} {name}q{k} ON {name}q{k}.grp = {grp} AND {name}q{k}.idx = {idx} // {arity ** k}"
+            for k in range(depth))
+
+    names = [f"tq{k}" for k in range(levels)] + [f"uq{k}" for k in range(top_levels)]
+    folds = ",\n".join(
+        f"f{k + 1} AS (SELECT * EXCLUDE (acc), CASE WHEN n{k} > 1 THEN sha256(b{k} || acc || a{k}) "
+        f"ELSE acc END AS acc FROM f{k})" for k in range(len(names)))
+    sides = ", ".join(f"{name}.n AS n{k}, {name}.before AS b{k}, {name}.after AS a{k}"
+                      for k, name in enumerate(names))
+    whole = " || ".join(f"CASE WHEN n{k} > 1 THEN b{k} || a{k} ELSE '' END" for k in range(len(names)))
+    return f"""
+WITH x AS (
+  SELECT doc_id, grp, row_number() OVER (PARTITION BY grp ORDER BY doc_id) - 1 AS idx,
+    count(*) OVER (PARTITION BY grp) AS n, digest, tampered
+  FROM (SELECT doc_id, coalesce('=' || source, '') AS grp, {leaf('text')} AS digest,
+      CASE WHEN {crc} % 5 = 0 THEN {leaf(low)} ELSE {leaf('text')} END AS tampered FROM documents)),
+t0 AS (SELECT grp, idx, n, digest FROM x),
+{tree('t', levels)},
+u0 AS (
+  SELECT 0 AS grp, grp AS source_key, row_number() OVER (ORDER BY grp) - 1 AS idx,
+    count(*) OVER () AS n, digest FROM t{levels}),
+{tree('u', top_levels)},
+f0 AS (
+  SELECT x.doc_id, x.digest AS leaf, u0.digest AS subroot, u{top_levels}.digest AS root,
+    x.tampered AS acc, {sides}
+  FROM x
+{steps('t', levels, 'x.idx', 'x.grp')}
+  JOIN u0 ON u0.source_key = x.grp
+{steps('u', top_levels, 'u0.idx', '0')}
+  JOIN u{top_levels} ON u{top_levels}.idx = 0),
+{folds}
+SELECT doc_id, leaf, subroot, root, sha256({whole}) AS proof_sha256, acc AS folded_root,
+  acc = root AS verified
+FROM f{len(names)}
+"""
+
+
+ORACLES["op12_merkle_manifest"] = _merkle_sql()
+
+
+@query
+def op13_embedding_whitening(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return whiten(vectors, fit_whitening(vectors)).withColumn(
+        "deviation", F.expr("try_cast(deviation as bigint)"))

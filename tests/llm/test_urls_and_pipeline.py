@@ -63,9 +63,10 @@ def test_rules_reach_all_ranges_they_cover():
 def test_every_query_returns_a_row_per_document(spark):
     folder = "/root/testdata/sf0.001"
     n = spark.read.parquet(f"{folder}/documents.parquet").count()
-    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
-    for name in ("op3_secret_scan", "op5_simhash_dedup", "op7_language_id"):
+    for name in ("op3_secret_scan", "op5_simhash_dedup", "op7_language_id", "op11_sentencepiece",
+                 "op12_merkle_manifest"):
         df = QUERIES[name](spark, folder)
         assert df.select("doc_id").distinct().count() == df.count() == n
 
