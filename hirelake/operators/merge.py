@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hirelake.functions.text import content_hash
 from hirelake.operators.joins import left_join_unique
-from hirelake.schemas import COMPANIES, JOBS, META
+from hirelake.schemas import COMPANIES, JOB_DETAILS, JOBS, META
 
 NEW, UPDATE, TOUCH = "new", "update", "touch"
 SECONDS_PER_DAY = 86_400
@@ -54,26 +54,28 @@ def compare_hash(mode: str = "reference") -> Column:
     whole description, as the hash covers the first 500 characters only.
     """
     if mode == "full":
-        return _full_hash(F.col("content_hash"), F.col("description_text"))
+        return _full_hash(F.col("content_hash"), F.sha2("description_text", 256))
     if mode != "reference":
         raise ValueError(f"unknown hash mode {mode!r}")
     slug = F.expr("substring(company_id, instr(company_id, ':') + 1)")
     return content_hash(F.col("title"), slug, F.col("location_raw"))
 
 
-def _full_hash(content: Column, description: Column) -> Column:
-    return F.concat(content, F.sha2(F.coalesce(description, F.lit("")), 256))
+def _full_hash(content: Column, text_hash: Column) -> Column:
+    return F.concat(content, F.coalesce(text_hash, F.sha2(F.lit(""), 256)))
 
 
-def stored_hashes(mode: str = "reference") -> Column:
+def stored_hashes(mode: str = "reference", text_hash: Column | None = None) -> Column:
     """The values of compare_hash that make a row equal to a stored job.
 
     A batch row without a description leaves the stored one, so in 'full' mode it is equal
-    to a job whose hash was taken without one, whatever text is kept.
+    to a job whose hash was taken without one, whatever text is kept. text_hash stands for a
+    description that is not at hand.
     """
     content = F.substring("content_hash", 1, 16)
     if mode == "full":
-        return F.array_distinct(F.array(_full_hash(content, F.col("description_text")),
+        text = F.sha2("description_text", 256) if text_hash is None else text_hash
+        return F.array_distinct(F.array(_full_hash(content, text),
                                         _full_hash(content, F.lit(None).cast("string"))))
     return F.array(content)
 
@@ -181,7 +183,7 @@ def fold_batch(incoming: DataFrame, state: DataFrame, order: Iterable[str] = ("p
     2. the state's (job_id, content_hash) pairs mark the groups to pass over;
     3. the rest is folded by job_id, again on the map side first.
     A job_id with any number of rows is thus at most one row per map task in each shuffle.
-    Row counts ride along for the statistics, which count repeated rows one by one.
+    state may be whole jobs or their narrow side (job_id, content_hash, text_hash). Row counts ride along for the statistics, which count repeated rows one by one.
     """
     rows = incoming.withColumn("_hash", compare_hash(hash_mode))
     at = F.struct(*order, "company_id").alias("at")
@@ -190,7 +192,8 @@ def fold_batch(incoming: DataFrame, state: DataFrame, order: Iterable[str] = ("p
         *_first_and_last(F.struct(at, *_KEPT), F.struct(at, *_REPLACED),
                          F.when(described, F.struct(at, "description_text")), F.lit(True)),
         F.count("*").alias("n_rows"))
-    stored = state.select("job_id", F.explode(stored_hashes(hash_mode)).alias("_hash"),
+    text_hash = F.col("text_hash") if "text_hash" in state.columns else None
+    stored = state.select("job_id", F.explode(stored_hashes(hash_mode, text_hash)).alias("_hash"),
                           F.lit(True).alias("_same"))
     written = F.col("_same").isNull()
     folded = groups.join(stored, ["job_id", "_hash"], "left").groupBy("job_id").agg(
@@ -237,6 +240,68 @@ def merge_jobs(state: DataFrame, folded: DataFrame) -> DataFrame:
         *[c.cast("bigint").alias(name) for name, c in counts.items()])
 
 
+def settle(seen: DataFrame, folded: DataFrame, cutoff: int) -> DataFrame:
+    """What a folded batch means for each job, from the narrow side of the state alone.
+
+    (job_id, ats, last_seen_at, content_hash, text_hash, is_new, is_written, is_stale, rows_new,
+    rows_updated, rows_touched); the first five are the narrow side after the run. No
+    description is read: of a batch's only the hash.
+    """
+    b = folded.select("job_id", "ats", "now", "n_rows", "n_written", "content_hash",
+                      F.sha2("description_text", 256).alias("text_hash")).alias("b")
+    s = seen.alias("s")
+    in_state, in_batch = F.col("s.job_id").isNotNull(), F.col("b.job_id").isNotNull()
+    late = F.coalesce(in_state & in_batch & (F.col("b.now") < F.col("s.last_seen_at")), F.lit(False))
+    written = in_batch & (F.col("b.n_written") > 0) & ~late
+    rows = F.coalesce("b.n_rows", F.lit(0))
+    hits = F.when(late, 0).otherwise(F.coalesce("b.n_written", F.lit(0)))
+    last = F.greatest("b.now", "s.last_seen_at")
+    return s.join(b, F.col("s.job_id") == F.col("b.job_id"), "full_outer").select(
+        F.coalesce("s.job_id", "b.job_id").alias("job_id"), F.coalesce("s.ats", "b.ats").alias("ats"),
+        last.alias("last_seen_at"),
+        F.when(written, F.col("b.content_hash")).otherwise(F.col("s.content_hash")).alias("content_hash"),
+        F.coalesce(F.when(written, F.col("b.text_hash")), F.col("s.text_hash")).alias("text_hash"),
+        (~in_state).alias("is_new"), F.coalesce(written, F.lit(False)).alias("is_written"),
+        (last < cutoff).alias("is_stale"),
+        *[c.cast("bigint").alias(name) for name, c in (
+            ("rows_new", F.when(in_state, 0).otherwise(rows)),
+            ("rows_updated", F.when(in_state, hits).otherwise(0)),
+            ("rows_touched", F.when(in_state, rows - hits).otherwise(0)))])
+
+
+def unchanged(seen: DataFrame, cutoff: int) -> DataFrame:
+    """The same for jobs that a run does not look at: some are stale."""
+    zero = F.lit(0).cast("bigint")
+    return seen.select(
+        "job_id", "ats", "last_seen_at", "content_hash", "text_hash", F.lit(False).alias("is_new"),
+        F.lit(False).alias("is_written"), (F.col("last_seen_at") < cutoff).alias("is_stale"),
+        zero.alias("rows_new"), zero.alias("rows_updated"), zero.alias("rows_touched"))
+
+
+def rewrite_details(details: DataFrame, settled: DataFrame, folded: DataFrame) -> DataFrame:
+    """The wide side after a run, for the jobs in settled that stay.
+
+    Each row is moved once: the narrow decisions meet the stored details and the folded rows
+    that are to be written.
+    """
+    kept = settled.where(~F.col("is_stale")).select("job_id", "is_new", "is_written").alias("k")
+    s = details.alias("s")
+    b = folded.join(settled.where("is_written and not is_stale").select("job_id"), "job_id",
+                    "left_semi").alias("b")
+    new, written = F.col("k.is_new"), F.col("k.is_written")
+    values = {"job_id": F.col("k.job_id"),
+              "first_seen_at": F.when(new, F.col("b.now")).otherwise(F.col("s.first_seen_at"))}
+    for c in _KEPT:
+        values[c] = F.when(new, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}"))
+    for c in _COALESCED:
+        values[c] = F.coalesce(F.when(written, F.col(f"b.{c}")), F.col(f"s.{c}"))
+    for c in _REPLACED:
+        values[c] = F.when(written, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}"))
+    return (kept.join(s, F.col("k.job_id") == F.col("s.job_id"), "left")
+            .join(b, F.col("k.job_id") == F.col("b.job_id"), "left")
+            .select(*[values[c].alias(c) for c in JOB_DETAILS.columns]))
+
+
 def upsert_jobs(state: DataFrame, incoming: DataFrame, order: Iterable[str] = ("pos",),
                 hash_mode: str = "reference") -> DataFrame:
     """State after a batch of job rows; ids may repeat, later rows win."""

@@ -6,16 +6,16 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import non_empty
 from hirelake.operators import merge, probes
-from hirelake.schemas import COMPANIES, JOBS, META
+from hirelake.schemas import COMPANIES, JOB_DETAILS, META, SEEN
 from hirelake.session import materialize, side_by_side
 from hirelake.sources.boards import (
     ALIVE, DEAD, REGISTRY, BoardSource, postings_of, project_jobs, union_all, with_postings)
-from hirelake.sources.state_store import StateStore
+from hirelake.sources.state_store import StateStore, part_name
 
 LAST_RUN_KEY = "last_scrape_at"
 
@@ -71,65 +71,86 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
                only: Iterable[str] | None = None, slugs: DataFrame | None = None,
                version: int | None = None, hash_mode: str = "reference",
                stale_days: int = merge.STALE_DAYS,
-               step: tuple[str, int, int] | None = None) -> RunResult:
+               step: tuple[str, int, int] | None = None, verify: bool = False) -> RunResult:
     """Merge a run's probe attempts into the state and commit the next version.
 
     only: the systems to process (all by default); the purge covers every system anyhow.
     slugs: (ats, slug) list of the boards to process (all attempts by default).
     step: stream, batch and run, for the commit log.
+    verify: check the declared constraints of the parts written, and refuse the version if broken;
+    the merges keep them by themselves, so this is for state that others write to as well.
+
+    The narrow side of the state decides everything; stored details are read only where a job of
+    their part is new, changed or stale, and parts of other systems only for the purge.
     """
     base = store.latest()
     version = (base or 0) + 1 if version is None else version
     sources = [REGISTRY[a] for a in (REGISTRY if only is None else only)]
-    companies, jobs, meta = (store.read(t, base) for t in (COMPANIES, JOBS, META))
+    companies, seen, meta = (store.read(t, base) for t in (COMPANIES, SEEN, META))
     spark = store.spark
 
     # Parsed payloads feed four consumers, so they are written once, pruned and collapsed.
-    def settle(source: BoardSource) -> DataFrame:
+    def settle_boards(source: BoardSource) -> DataFrame:
         return materialize(probe_boards(attempts, companies, source, slugs),
                            f"boards-{source.ats}")
 
-    boards = side_by_side(spark, *[partial(settle, s) for s in sources])
+    boards = side_by_side(spark, *[partial(settle_boards, s) for s in sources])
     outcomes = union_all([b.drop("postings") for b in boards])
 
     incoming = union_all([board_jobs(b, s, now) for b, s in zip(boards, sources)])
-    # Systems not in this run skip the join: their partitions are only filtered.
     ran = F.col("ats").isin([s.ats for s in sources])
-    ours = jobs.where(ran)
-    merged = merge.merge_jobs(ours, merge.fold_batch(incoming, ours, hash_mode=hash_mode))
-    idle = jobs.where(~ran)
-    for count in ("rows_new", "rows_updated", "rows_touched"):
-        idle = idle.withColumn(count, F.lit(0).cast("bigint"))
-    everything = merged.unionByName(idle) if len(sources) < len(REGISTRY) else merged
-
     cutoff = merge.stale_cutoff(now, stale_days)
-    # Counted while the result is written, in the stage that writes it.
-    seen = Observation()
-    metrics = [F.count_if(F.col("last_seen_at") < cutoff).alias("purged")]
-    for s in sources:
-        for count in ("rows_new", "rows_updated"):
-            metrics.append(F.coalesce(F.sum(F.when(F.col("ats") == s.ats, F.col(count))),
-                                      F.lit(0)).alias(f"{s.ats}.{count}"))
-    next_jobs = merge.purge_stale(everything.observe(seen, *metrics), cutoff)
+    folded = materialize(merge.fold_batch(incoming, seen.where(ran), hash_mode=hash_mode), "folded")
+    settled = merge.settle(seen.where(ran), folded, cutoff)
+    if len(sources) < len(REGISTRY):
+        settled = settled.unionByName(merge.unchanged(seen.where(~ran), cutoff))
+    settled = materialize(settled.withColumn("bucket", store.bucket()), "settled")
+
+    # One row for each part: what a run did to it, and so which parts have to be written.
+    totals = {c: F.sum(c).alias(c) for c in ("rows_new", "rows_updated")}
+    parts = settled.groupBy("ats", "bucket").agg(
+        *totals.values(), F.count_if("is_stale").alias("purged"),
+        F.count_if(F.col("is_written") | F.col("is_stale")).alias("changed"),
+        F.count_if(~F.col("is_stale")).alias("left")).collect()
+    names = {part_name(r.ats, r.bucket): r for r in parts}
+    chosen = {s.ats for s in sources}
+    rewritten = [p for p, r in names.items() if r.changed]
+    renewed = [p for p, r in names.items() if r.ats in chosen or r.purged]
+
+    filled = {p for p, r in names.items() if r.left}
+
+    def within(wanted: list[str]) -> DataFrame:
+        name = F.concat(F.lit("ats="), "ats", F.lit("/bucket="), F.col("bucket").cast("string"))
+        return settled.where(name.isin(wanted))
+
+    def write_details() -> None:
+        if not rewritten:
+            store.carry(JOB_DETAILS, version, base)
+            return
+        held = store.parts(JOB_DETAILS, base)
+        details = store.read_parts(JOB_DETAILS, {p: v for p, v in held.items() if p in set(rewritten)})
+        store.write(merge.rewrite_details(details, within(rewritten), folded), JOB_DETAILS, version,
+                    base=base, replaced=rewritten, filled=filled.intersection(rewritten))
+
     last = merge.get_meta(meta, LAST_RUN_KEY).first()
     latest = now if last is None else max(now, int(last.value))
     entry = spark.createDataFrame([(LAST_RUN_KEY, str(latest))], META.schema)
     side_by_side(
-        spark,
-        lambda: store.write(next_jobs, JOBS, version),
-        lambda: store.write(next_companies(companies, outcomes, now), COMPANIES, version),
+        spark, write_details,
+        lambda: store.write(within(renewed).where(~F.col("is_stale")), SEEN, version, base=base,
+                            replaced=renewed, filled=filled.intersection(renewed)),
+        lambda: store.write(next_companies(companies.where(ran), outcomes, now), COMPANIES, version,
+                            base=base, replaced=[part_name(s.ats) for s in sources]),
         lambda: store.write(merge.put_meta(meta, entry), META, version))
-    store.commit(version, *step or ())
+    store.commit(version, *step or (), verify=(JOB_DETAILS, COMPANIES) if verify else ())
 
-    counts = seen.get
-    per_ats = spark.createDataFrame(
-        [(s.ats, counts[f"{s.ats}.rows_new"], counts[f"{s.ats}.rows_updated"])
-         for s in sources],
-        "ats string, jobs_new bigint, jobs_updated bigint")
+    sums = {s.ats: [sum(r[c] for r in parts if r.ats == s.ats) for c in totals] for s in sources}
+    per_ats = spark.createDataFrame([(ats, *counts) for ats, counts in sums.items()],
+                                    "ats string, jobs_new bigint, jobs_updated bigint")
     stats = probes.outcome_stats(outcomes).join(per_ats, "ats")
     dropped = outcomes.groupBy("ats").agg(
         F.coalesce(F.sum("unkeyed"), F.lit(0)).alias("postings_dropped"))
-    return RunResult(version, stats, run_totals(stats, counts["purged"]), dropped)
+    return RunResult(version, stats, run_totals(stats, sum(r.purged for r in parts)), dropped)
 
 
 def run_totals(stats: DataFrame, purged: int) -> DataFrame:

@@ -68,6 +68,16 @@ JOBS = TableSpec(
                   ("content_hash", _STR)).fields),
     primary_key=("job_id",), unique=(("ats", "ats_job_id"),), defaults={"is_remote": 0})
 
+# Jobs at rest: when each was last seen and what it is compared by, apart from all the rest.
+SEEN = TableSpec(
+    "seen",
+    _struct(("job_id", _STR, False), ("ats", _STR, False), ("last_seen_at", _LONG, False),
+            ("content_hash", _STR), ("text_hash", _STR)),
+    primary_key=("job_id",))
+JOB_DETAILS = TableSpec(
+    "jobs", T.StructType([f for f in JOBS.schema.fields if f.name != "last_seen_at"]),
+    primary_key=JOBS.primary_key, unique=JOBS.unique, defaults=JOBS.defaults)
+
 META = TableSpec("meta", _struct(("key", _STR, False), ("value", _STR)), primary_key=("key",))
 
 # Declared for downstream use; no operator reads or writes these three.
