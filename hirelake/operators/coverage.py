@@ -39,6 +39,21 @@ def coverage_totals(report: DataFrame, labels: tuple[str, str] = ("cc", "simplif
     return report.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
+def coverage_rollup(a: DataFrame, b: DataFrame,
+                    labels: tuple[str, str] = ("cc", "simplify")) -> DataFrame:
+    """Set sizes per system and over all, told apart by level (0 and 1); ats is null in the total.
+
+    Grouping sets over the memberships: the total comes out of the shuffle that the systems take.
+    """
+    la, lb = labels
+    in_a, in_b = F.col("in_a") == 1, F.col("in_b") == 1
+    measures = {la: in_a, lb: in_b, f"{la}_only": in_a & ~in_b, f"{lb}_only": in_b & ~in_a,
+                "both": in_a & in_b, "union": in_a | in_b}
+    return membership(a, b).rollup("ats").agg(
+        F.grouping_id().cast("int").alias("level"),
+        *[F.count_if(m).alias(name) for name, m in measures.items()])
+
+
 def jobs_per_company(jobs: DataFrame) -> DataFrame:
     """(company_name, job_count) of named companies."""
     return (jobs.where(F.col("company_name").isNotNull())

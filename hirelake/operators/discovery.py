@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.functions.slugs import is_valid_slug, redirect_targets
+from hirelake.functions.slugs import (
+    is_valid_slug, match_domain, match_host, redirect_targets, url_parts)
 
 
 def systems(like: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -52,6 +53,55 @@ def slug_counts(snapshot: DataFrame) -> DataFrame:
         F.count("*").alias("slugs"))
 
 
+def slug_counts_rollup(snapshot: DataFrame) -> DataFrame:
+    """Distinct slugs per source and system, per source, and over all: level 0, 1 and 3.
+
+    A slug that several sources have counts in each of them, and in the total as often.
+    """
+    return snapshot.select("source", "ats", "slug").distinct().rollup("source", "ats").agg(
+        F.grouping_id().cast("int").alias("level"), F.count("*").alias("slugs"))
+
+
+GRAM = 4
+
+
+def _grams(text: Column, size: int) -> Column:
+    """All distinct stretches of that length."""
+    last = F.length(text) - size
+    return F.array_distinct(F.when(last >= 0, F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.substring(text, i + 1, F.lit(size)))).otherwise(F.array()))
+
+
+def match_hosts(hosts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(host, rank, pattern) of the distinct hosts that contain a pattern: the first one by rank.
+
+    patterns(rank, pattern) is a table of any size. A pattern is looked up by one of its stretches
+    of GRAM characters, the one that fewest patterns have; hosts are cut into theirs. So the join
+    is one by equality, and `contains` is tested on what it finds. A pattern shorter than that is
+    its own stretch, and hosts are cut into such sizes only if a pattern has them.
+    """
+    distinct = hosts.where(F.col("host").isNotNull()).select("host").distinct()
+    known = patterns.where(F.length("pattern") > 0).groupBy("pattern").agg(F.min("rank").alias("rank"))
+    known = known.withColumn("size", F.least(F.length("pattern"), F.lit(GRAM)))
+    sizes = [r.size for r in known.select("size").distinct().collect()]  # 1 to GRAM
+    if not sizes:
+        return distinct.select("host", F.lit(None).cast("long").alias("rank"),
+                               F.lit(None).cast("string").alias("pattern")).where("false")
+
+    def cut(text: Column) -> Column:
+        return F.flatten(F.array(*[_grams(text, n) for n in sorted(sizes)]))
+
+    grams = known.select("pattern", "rank", F.explode(cut(F.col("pattern"))).alias("gram"), "size")
+    grams = grams.where(F.length("gram") == F.col("size"))
+    common = grams.groupBy("gram").agg(F.count("*").alias("n"))
+    keyed = grams.join(common, "gram").groupBy("pattern", "rank").agg(
+        F.min(F.struct("n", "gram")).getField("gram").alias("gram"))
+    found = distinct.select("host", F.explode(cut(F.col("host"))).alias("gram")).join(keyed, "gram")
+    first = found.where(F.col("host").contains(F.col("pattern"))).groupBy("host").agg(
+        F.min(F.struct("rank", "pattern")).alias("first"))
+    return first.select("host", "first.rank", "first.pattern")
+
+
 def first_hits(postings: DataFrame, key: str, order: Iterable[str]) -> DataFrame:
     """First row per key in the given order (all other columns break ties).
 
@@ -76,3 +126,22 @@ def resolve_redirects(postings: DataFrame, redirects: DataFrame, patterns: Mappi
         .select("posting_id", "ats", "slug").distinct())
     wanted = postings.select("posting_id").distinct()
     return targets.join(wanted, "posting_id", "left_semi").select("ats", "slug").distinct()
+
+
+def redirect_failures(postings: DataFrame, redirects: DataFrame, patterns: Mapping[str, str],
+                      exact_domain: bool = False) -> DataFrame:
+    """(reason, postings): why postings gave no slug, or that they gave one.
+
+    resolved; no_redirect: none was landed; no_board: it leads to no known system; bad_slug: to
+    one, but not to a board that can be named. The best of a posting's redirects counts.
+    """
+    url = F.col("final_url")
+    targets = F.size(redirect_targets(url, patterns, exact_domain)) > 0
+    host = url_parts(url)["host"]
+    known = (match_domain if exact_domain else match_host)(host, patterns).isNotNull()
+    level = F.when(targets, 3).when(known, 2).when(url.isNotNull(), 1).otherwise(0)
+    best = redirects.groupBy("posting_id").agg(F.max(level).alias("level"))
+    reasons = F.create_map(*[F.lit(x) for x in (0, "no_redirect", 1, "no_board", 2, "bad_slug", 3, "resolved")])
+    return (postings.select("posting_id").distinct().join(best, "posting_id", "left")
+            .groupBy(reasons[F.coalesce("level", F.lit(0))].alias("reason"))
+            .agg(F.count("*").alias("postings")))

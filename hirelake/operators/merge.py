@@ -39,6 +39,28 @@ def existing_jobs(incoming: DataFrame, state: DataFrame) -> DataFrame:
     return known.join(ids, "job_id", "left_semi")
 
 
+def write_bucketed(state: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """The lookup columns of a state as a table bucketed and sorted by job_id, read back.
+
+    (job_id, content_hash, has_desc). Lookups in it shuffle the batch only, to its buckets. Take as
+    many buckets as make one fit a task: rows of the state over some millions.
+    """
+    known = state.select("job_id", "content_hash",
+                         F.col("description_text").isNotNull().cast("int").alias("has_desc"))
+    (known.write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, "job_id").sortBy("job_id").saveAsTable(table))
+    return state.sparkSession.table(table)
+
+
+def existing_in_buckets(incoming: DataFrame, lookup: DataFrame) -> DataFrame:
+    """existing_jobs over a table of write_bucketed: a merge join without an exchange of the state.
+
+    Ids of the batch are made distinct first, which deals them out as the join needs them.
+    """
+    ids = incoming.select("job_id").distinct()
+    return lookup.hint("merge").join(ids, "job_id", "left_semi")
+
+
 def job_exists(state: DataFrame, job_id: str) -> DataFrame:
     """The same for one id: a frame of one row, or none. The filter reaches the scan."""
     return state.where(F.col("job_id") == job_id).select(

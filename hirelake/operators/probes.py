@@ -70,3 +70,13 @@ def outcome_stats(outcomes: DataFrame) -> DataFrame:
 
     return outcomes.groupBy("ats").agg(
         n(ALIVE).alias("companies"), n(DEAD).alias("dead"), n(ERROR).alias("errors"))
+
+
+def outcome_rollup(outcomes: DataFrame) -> DataFrame:
+    """The same per system and over all, told apart by level (0 and 1), from one shuffle."""
+    def n(value: str) -> Column:
+        return F.count_if(F.col("outcome") == value)
+
+    return outcomes.rollup("ats").agg(
+        F.grouping_id().cast("int").alias("level"), n(ALIVE).alias("companies"),
+        n(DEAD).alias("dead"), n(ERROR).alias("errors"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from hirelake.operators import discovery
+from hirelake.operators.blocks import find_blocks
 from hirelake.session import materialize
-from hirelake.sources.boards import host_patterns
+from hirelake.sources.boards import REGISTRY, host_patterns
 from hirelake.sources.slug_lists import write_slug_table, write_snapshot
-from hirelake.sources.url_index import slugs_in_records
+from hirelake.sources.url_index import in_blocks, slugs_in_records
 
 INDEX_SOURCE = "cc"
 AGGREGATOR_SOURCE = "simplify"
@@ -44,6 +45,22 @@ def discover_from_index(records: DataFrame, existing: DataFrame, slugs_out: str,
                            slugs_out, snapshot_out)
 
 
+def discover_from_blocks(index: DataFrame, records: DataFrame, prefixes: Mapping[str, Sequence[str]],
+                         existing: DataFrame, slugs_out: str, snapshot_out: str,
+                         only: Iterable[str] | None = None) -> DiscoveryResult:
+    """Slugs in the index blocks that may hold a system's keys, merged with the existing ones.
+
+    index: block lines as of url_index.parse_block_lines; records: (shard, offset, line), best landed
+    by shard; prefixes: the key prefixes of each system; only: the systems to look for (all of
+    prefixes by default). Records of other blocks are not read.
+    """
+    names = list(prefixes if only is None else only)
+    wanted = [p for n in names for p in prefixes[n]]
+    blocks = materialize(find_blocks(index, wanted), "blocks")
+    found = slugs_in_records(in_blocks(records, blocks), [REGISTRY[n] for n in names])
+    return _merge_and_save(found, existing, INDEX_SOURCE, slugs_out, snapshot_out)
+
+
 def discover_from_aggregator(postings: DataFrame, redirects: DataFrame, existing: DataFrame,
                              slugs_out: str, snapshot_out: str,
                              patterns: Mapping[str, str] | None = None) -> DiscoveryResult:

@@ -43,6 +43,18 @@ def not_gzip(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return files.where(F.hex(F.substring("content", 1, 2)) != "1F8B").select("path")
 
 
+def in_blocks(records: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The landed records(shard, offset, ...) that lie in one of the blocks(shard, offset).
+
+    Where records are partitioned by shard, only folders of shards with such a block are listed and
+    read: an index has some hundreds of shards, so their names are a plain filter of the scan.
+    """
+    wanted = blocks.select("shard", "offset").distinct()
+    shards = [r.shard for r in wanted.select("shard").distinct().collect()]
+    near = records.where(F.col("shard").isin(shards))
+    return near.join(wanted, ["shard", "offset"], "left_semi")
+
+
 def slugs_in_records(records: DataFrame,
                      sources: Sequence[BoardSource] | None = None) -> DataFrame:
     """Distinct (ats, slug) found in index records, all systems in one pass.

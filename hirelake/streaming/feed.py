@@ -24,6 +24,23 @@ def read_feed(spark: SparkSession, path: str, file_format: str = "parquet",
     return reader.load(path)
 
 
+def once_only(feed: DataFrame, within: str = "2 days") -> DataFrame:
+    """The feed without repeats of an attempt, as collectors land a file again after a failure.
+
+    An attempt is (ats, slug, probed_at, attempt); probed_at is the event time. Repeats are known for
+    `within` after it, and attempts older than the newest one by more are dropped as too late
+    (late_rows counts them). Attempts without probed_at belong to no run and are dropped too.
+    """
+    timed = feed.where(F.col("probed_at").isNotNull()).withColumn(
+        "_time", F.timestamp_seconds("probed_at")).withWatermark("_time", within)
+    return timed.dropDuplicatesWithinWatermark(["ats", "slug", "probed_at", "attempt"]).drop("_time")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Attempts that a query dropped as too late, over its recent batches."""
+    return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+
+
 def start_feed(feed: DataFrame, store: StateStore, checkpoint: str,
                hash_mode: str = "reference", stream: str | None = None,
                **trigger) -> StreamingQuery:

@@ -95,6 +95,15 @@ def index_records(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("key 20260101000000 {\"url\": \""), "board_url", F.lit("\"}")).alias("line"))
 
 
+def block_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The same records with the block (shard, offset) that their page's index line names."""
+    shard = F.concat(F.lit("cdx-"), F.lpad((F.col("page_id") / 64).cast("bigint").cast("string"), 5, "0"),
+                     F.lit(".gz"))
+    return board_urls(spark, folder).select(
+        shard.alias("shard"), ((F.col("page_id") / 2).cast("bigint") * 1000).alias("offset"),
+        F.concat(F.lit("key 20260101000000 {\"url\": \""), "board_url", F.lit("\"}")).alias("line"))
+
+
 def aggregator_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Postings of an aggregator: every page is a hit of the company its host names."""
     return board_urls(spark, folder).select(

@@ -354,6 +354,15 @@ FEED = f"""WITH {RUNS}
   FROM seen"""
 
 
+INDEX_LINES = r"""
+  k AS (SELECT page_id, url, array_to_string(list_reverse(string_split(
+            regexp_extract(url, '^https?://([^/]+)', 1), '.')), ',') || ')'
+            || regexp_extract(url, '^https?://[^/]+(.*)$', 1) || ' 20260101000000' AS key,
+            'cdx-' || lpad(CAST(page_id // 64 AS VARCHAR), 5, '0') || '.gz' AS shard,
+            page_id // 2 * 1000 AS off FROM pages),
+          x AS (SELECT *, key || chr(9) || shard || chr(9) || off || CASE WHEN contains(url, '#') THEN ''
+            ELSE chr(9) || (page_id + 100) || chr(9) || page_id END AS line FROM k)"""
+
 ORACLES = {
     "slug_by_family": f"""WITH {BOARDS} SELECT ats, count(DISTINCT label) AS slugs, count(*) AS pages
         FROM boards WHERE {valid('label')} GROUP BY ats""",
@@ -371,13 +380,7 @@ ORACLES = {
     "slug_decode": f"""WITH {BOARDS} SELECT page_id, lower(url_decode(replace(label, '.', '%2E')
           || '%20+' || upper(label) || '%zz%C3%A9%')) AS mixed, lower(board_url) AS plain FROM boards""",
     "url_index_scan": f"""WITH {BOARDS} SELECT DISTINCT ats, label AS slug FROM boards WHERE {valid('label')}""",
-    "block_lookup": r"""WITH k AS (SELECT page_id, url, array_to_string(list_reverse(string_split(
-            regexp_extract(url, '^https?://([^/]+)', 1), '.')), ',') || ')'
-            || regexp_extract(url, '^https?://[^/]+(.*)$', 1) || ' 20260101000000' AS key,
-            'cdx-' || lpad(CAST(page_id // 64 AS VARCHAR), 5, '0') || '.gz' AS shard,
-            page_id // 2 * 1000 AS off FROM pages),
-          x AS (SELECT *, key || chr(9) || shard || chr(9) || off || CASE WHEN contains(url, '#') THEN ''
-            ELSE chr(9) || (page_id + 100) || chr(9) || page_id END AS line FROM k),
+    "block_lookup": f"""WITH {INDEX_LINES},
           l AS (SELECT *, lag(line) OVER (ORDER BY line) AS prev FROM x),
           h AS (SELECT prefix, shard, off, page_id + 100 AS length, line,
               row_number() OVER (PARTITION BY prefix, shard, off ORDER BY line) AS rn
@@ -521,4 +524,55 @@ ORACLES = {
         SELECT ats, CAST(sum(is_new) AS BIGINT) AS new_count, count(*) AS total FROM m GROUP BY ats""",
     "validation_run": f"WITH {COVERAGE} SELECT * FROM report",
     "validation_run_counts": f"WITH {COMPARED},{SAMPLE} {compared('sample')}",
+    "previous_key": f"""WITH {INDEX_LINES} SELECT line, lag(line) OVER (ORDER BY line) AS previous FROM x""",
+    "page_directory": """WITH r AS (SELECT o_orderpriority, o_orderkey, o_custkey,
+          row_number() OVER (ORDER BY o_orderpriority, o_orderkey) - 1 AS pos, count(*) OVER () AS n FROM orders),
+        p AS (SELECT *, CAST(pos // 250 + 1 AS INT) AS page, (n + 249) // 250 AS last FROM r)
+        SELECT o_orderpriority, o_orderkey, o_custkey, page FROM p WHERE page IN (1, last // 2, last)
+        UNION ALL SELECT * FROM (SELECT o_orderpriority, o_orderkey, o_custkey, 0 FROM r
+          WHERE o_orderpriority > '3-MEDIUM' OR o_orderpriority = '3-MEDIUM' AND o_orderkey > 100
+          ORDER BY o_orderpriority, o_orderkey LIMIT 250)""",
+    "host_pattern_table": """WITH h AS (SELECT page_id, lower(regexp_extract(url, '^https?://([^/]+)', 1)) AS host,
+          substr(regexp_extract(url, '^(https?)://(.+?)\\.example\\.(com|net|org)/(.*)$', 2), 2, 5) AS pattern FROM pages),
+        q AS (SELECT pattern, min(page_id) AS rank FROM h WHERE pattern <> '' GROUP BY pattern),
+        f AS (SELECT h.host, min(rank) AS rank, arg_min(q.pattern, q.rank) AS pattern
+          FROM (SELECT DISTINCT host FROM h) h JOIN q ON contains(h.host, q.pattern) GROUP BY h.host)
+        SELECT h.page_id, h.host, f.rank, f.pattern FROM h LEFT JOIN f USING (host)""",
+    "coverage_rollup": f"""WITH {SETS}, m AS (SELECT ats, slug, max(x) AS x, max(y) AS y FROM (
+            SELECT ats, slug, 1 AS x, 0 AS y FROM a UNION ALL SELECT ats, slug, 0, 1 FROM b) GROUP BY ats, slug)
+        SELECT ats, CAST(grouping(ats) AS INT) AS level, count(*) FILTER (x = 1) AS cc,
+          count(*) FILTER (y = 1) AS simplify, count(*) FILTER (x = 1 AND y = 0) AS cc_only,
+          count(*) FILTER (y = 1 AND x = 0) AS simplify_only, count(*) FILTER (x = 1 AND y = 1) AS "both",
+          count(*) AS "union" FROM m GROUP BY ROLLUP (ats)""",
+    "slugs_per_source_rollup": f"""WITH {BOARDS}, d AS (SELECT DISTINCT scheme AS source, ats, label FROM boards)
+        SELECT source, ats, CAST(grouping(source, ats) AS INT) AS level, count(*) AS slugs
+        FROM d GROUP BY ROLLUP (source, ats)""",
+    "run_stats_rollup": f"""WITH {COLLAPSED} SELECT ats, CAST(grouping(ats) AS INT) AS level,
+          count(*) FILTER (outcome = 'alive') AS companies, count(*) FILTER (outcome = 'dead') AS dead,
+          count(*) FILTER (outcome = 'error') AS errors FROM final GROUP BY ROLLUP (ats)""",
+    "job_lookup": """SELECT 'lever:' || o_orderkey AS job_id,
+          substr(sha256(lower(o_orderstatus) || '|orders|' || CASE WHEN o_orderstatus = 'O' THEN '|' || o_orderpriority
+            ELSE '' END), 1, 16) AS content_hash, CAST(o_orderstatus = 'O' AS INT) AS has_desc
+        FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)""",
+    "landed_postings": f"""WITH {BOARDS} SELECT label AS company_id,
+          upper(label[1]) || lower(label[2:]) AS company_name,
+          CAST(page_id AS VARCHAR) AS posting_id, CAST(length(url) AS INT) AS hit_rank FROM boards""",
+    "redirect_failures": f"""WITH {BOARDS}, h AS (SELECT page_id, ats, label, CASE
+            WHEN ats = 'greenhouse' THEN replace(board_url, 'greenhouse.io', 'example.com')
+            WHEN length(board_url) % 5 = 0 THEN regexp_replace(board_url, '(lever[.]co/).*', '\\1embed')
+            ELSE board_url END AS hop FROM boards)
+        SELECT CASE WHEN contains(hop, '?') THEN 'no_redirect' WHEN ats = 'greenhouse' THEN 'no_board'
+            WHEN hop LIKE '%lever.co/embed' OR NOT {valid('label')} THEN 'bad_slug' ELSE 'resolved' END AS reason,
+          count(*) AS postings FROM h GROUP BY reason""",
+    "discovery_run_blocks": f"""WITH {INDEX_LINES}, l AS (SELECT *, lag(line) OVER (ORDER BY line) AS prev FROM x),
+        hits AS (SELECT DISTINCT shard, off FROM l, (VALUES ('com,example,t'), ('com,example,e'), ('org,example,th'))
+            AS p(prefix) WHERE (starts_with(line, prefix) OR (prev < prefix AND prefix <= line))
+          AND NOT contains(url, '#')),
+        {BOARDS},
+        near AS (SELECT DISTINCT ats, label AS slug FROM boards JOIN k USING (page_id) JOIN hits USING (shard, off)
+          WHERE ats IN ('lever', 'ashby') AND {valid('label')}),
+        a AS (SELECT DISTINCT ats, label AS slug FROM boards WHERE scheme = 'http')
+        SELECT ats, slug, 0 AS is_new FROM a UNION ALL SELECT ats, slug, 1 FROM (SELECT * FROM near EXCEPT SELECT * FROM a)""",
+    "incremental_feed_replayed": FEED,
 }
+ORACLES["existence_lookup_bucketed"] = ORACLES["existence_lookup"]

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from hirelake import schemas
 from hirelake.functions import labels, location, slugs, text
 from hirelake.operators import (
-    blocks, checks, coverage, discovery, merge, probes, sampling)
+    blocks, checks, coverage, discovery, merge, ordering, probes, sampling)
 from hirelake.plans import discovery as discovery_plan
 from hirelake.plans import scrape, validation
 from hirelake.schemas import COMPANIES, JOBS
 from hirelake.session import scratch_path
-from hirelake.sources import boards, slug_lists, url_index
+from hirelake.sources import boards, landed, slug_lists, url_index
 from hirelake.sources.state_store import StateStore
 from hirelake.streaming import feed
 from workload import inputs
@@ -537,3 +537,119 @@ def validation_run_counts(spark, folder):
     """Sampled companies' counts compared with the external source."""
     return validation.validate_job_counts(
         inputs.order_jobs(spark, folder), inputs.external_counts(spark, folder), 50, seed=7)
+
+
+# --- order, directories, patterns, rollups ------------------------------------------------
+
+
+@query
+def previous_key(spark, folder):
+    """Every index line with the line before it."""
+    return ordering.previous_rows(inputs.index_lines(spark, folder), "line")
+
+
+@query
+def page_directory(spark, folder):
+    """A first, a middle and the last page of all orders, and the page after a key."""
+    rows = table(spark, folder, "orders").select("o_orderpriority", "o_orderkey", "o_custkey")
+    pages = ordering.PageDirectory.of(rows, ["o_orderpriority", "o_orderkey"])
+    last = -(-pages.total // 250)
+    parts = [pages.page(n).withColumn("page", F.lit(n)) for n in (1, last // 2, last)]
+    return reduce(DataFrame.union, [*parts, pages.after(("3-MEDIUM", 100)).withColumn("page", F.lit(0))])
+
+
+@query
+def host_pattern_table(spark, folder):
+    """Hosts of all pages against a table of patterns: stretches of the hosts themselves."""
+    pages = inputs.board_urls(spark, folder).select(
+        "page_id", slugs.url_parts(F.col("url"))["host"].alias("host"), "label")
+    patterns = pages.select(F.col("page_id").alias("rank"), F.substring("label", 2, 5).alias("pattern"))
+    found = discovery.match_hosts(pages, patterns)
+    return pages.select("page_id", "host").join(found, "host", "left").select(
+        "page_id", "host", "rank", "pattern")
+
+
+@query
+def coverage_rollup(spark, folder):
+    return coverage.coverage_rollup(inputs.page_slugs(spark, folder, "http"),
+                                    inputs.page_slugs(spark, folder, "https"))
+
+
+@query
+def slugs_per_source_rollup(spark, folder):
+    found = inputs.board_urls(spark, folder).select(
+        F.col("scheme").alias("source"), "ats", F.col("label").alias("slug"))
+    return discovery.slug_counts_rollup(found)
+
+
+@query
+def run_stats_rollup(spark, folder):
+    return probes.outcome_rollup(retry_collapse(spark, folder))
+
+
+@query
+def existence_lookup_bucketed(spark, folder):
+    """existence_lookup over a state kept in buckets by job id."""
+    name = scratch_path(spark, "lookup")
+    kept = merge.write_bucketed(inputs.order_state(spark, folder), f"lookup_{name[-12:]}", name, 8)
+    return merge.existing_in_buckets(inputs.line_batch(spark, folder), kept)
+
+
+@query
+def job_lookup(spark, folder):
+    """The stored job of one id: the smallest of all orders."""
+    state = inputs.order_state(spark, folder, every=True)
+    one = table(spark, folder, "orders").agg(F.min("o_orderkey")).first()[0]
+    return merge.job_exists(state, f"lever:{one}")
+
+
+@query
+def landed_postings(spark, folder):
+    """Aggregator postings landed as JSON lines and read with their schema."""
+    path = scratch_path(spark, "postings")
+    inputs.aggregator_postings(spark, folder).write.json(path)
+    return landed.read_landed(spark, "postings", path, "json")
+
+
+@query
+def redirect_failures(spark, folder):
+    """Postings by what became of them; redirects of one family lead elsewhere or nowhere."""
+    hops = inputs.redirects(spark, folder).withColumn("final_url", F.when(
+        F.col("final_url").contains("greenhouse"), F.replace("final_url", F.lit("greenhouse.io"), F.lit("example.com")))
+        .when(F.length("final_url") % 5 == 0, F.regexp_replace("final_url", "(lever[.]co/).*", "$1embed"))
+        .otherwise(F.col("final_url")))
+    return discovery.redirect_failures(
+        inputs.aggregator_postings(spark, folder), hops.where(~F.col("final_url").contains("?")),
+        boards.host_patterns())
+
+
+@query
+def discovery_run_blocks(spark, folder):
+    """Discovery that reads only the blocks of two systems' keys, records landed by shard."""
+    path = scratch_path(spark, "blocks")
+    inputs.block_records(spark, folder).write.partitionBy("shard").parquet(path)
+    records = spark.read.schema("offset long, line string, shard string").parquet(path)
+    result = discovery_plan.discover_from_blocks(
+        url_index.parse_block_lines(inputs.index_lines(spark, folder)), records,
+        {"lever": ["com,example,t", "com,example,e"], "greenhouse": ["net,example,"],
+         "ashby": ["org,example,th"]},
+        inputs.page_slugs(spark, folder, "http"), scratch_path(spark, "slugs"),
+        scratch_path(spark, "snapshot"), only=["lever", "ashby"])
+    return result.merged
+
+
+@query
+def incremental_feed_replayed(spark, folder):
+    """Two runs as a stream that gets every file twice; companies afterwards."""
+    landed_files = scratch_path(spark, "landed")
+    store = StateStore(spark, scratch_path(spark, "feed"))
+    checkpoint = scratch_path(spark, "checkpoint")
+    for second, now in ((False, inputs.RUN_1), (True, inputs.RUN_2)):
+        run = inputs.run_attempts(spark, folder, second).withColumn("probed_at", F.lit(now).cast("bigint"))
+        for _ in range(2):
+            run.write.mode("append").parquet(landed_files)
+            feed.start_feed(feed.once_only(feed.read_feed(spark, landed_files), "30 days"), store,
+                            checkpoint).awaitTermination()
+    if store.latest() != 2:
+        raise RuntimeError(f"a replay was merged: {store.latest()} versions")
+    return store.read(COMPANIES)
