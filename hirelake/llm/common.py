@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,6 +134,19 @@ class Rolling:
         return mixed(out)
 
 
+# Longer words are hashed one by one: two long words may well collide modulo 2 ** 64 in a rolling
+# hash, whatever its base (complementary Thue-Morse words of 1024 letters always do).
+LONG_WORD = 32
+
+
+def word_values(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word [start, stop) of the bytes."""
+    out = Rolling(BYTE_VALUES[data]).between(starts, stops)
+    for i in np.flatnonzero(stops - starts > LONG_WORD):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:stops[i]].tobytes())
+    return out
+
+
 def word_spans(data: np.ndarray, ends: np.ndarray, is_word: np.ndarray):
     """(starts, stops, first): byte range of each word, and the first word of each row.
 

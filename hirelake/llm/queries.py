@@ -135,7 +135,7 @@ def op5_simhash_dedup(spark, folder):
 @query
 def op6_decontamination(spark, folder):
     found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
-    items = F.array_sort(F.array_distinct(F.filter("matches.item_id", lambda x: x.isNotNull())))
+    items = F.array_sort(F.array_distinct("items"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
         sha256_hex(F.concat_ws(",", items)).alias("items_sha256"),

@@ -18,13 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from hirelake.llm.common import BYTE_VALUES, SPACE_WORDS, Rolling, documents, word_spans
+from hirelake.llm.common import SPACE_WORDS, documents, word_spans, word_values
 from hirelake.llm.repeats import RepeatFinder
 
 
 def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts, stops, first = word_spans(data, ends, SPACE_WORDS)
-    return Rolling(BYTE_VALUES[data]).between(starts, stops), first
+    return word_values(data, starts, stops), first
 
 
 def kept_words(texts: pa.Array, covered: np.ndarray, first: np.ndarray) -> dict[str, pa.Array]:

@@ -267,9 +267,10 @@ def test_decontamination(spark, docs, nothing, block_words):
         clean += not hit
         want.append((doc, len(w), len(hit), tuple(sorted(x for x in items if x))))
     found = decontaminate.find_contamination(docs, bench, block_words=block_words)
-    got = found.select("doc_id", "n_words", "n_hit", F.array_sort(F.array_distinct(
-        F.filter("matches.item_id", lambda x: x.isNotNull()))).alias("items")).collect()
-    assert multiset((*r[:3], tuple(r.items)) for r in got) == multiset(want)
+    got = found.select("doc_id", "n_words", "n_hit", F.array_sort(F.array_distinct("items")).alias(
+        "items"), F.size("matches").alias("n")).collect()
+    assert all((r.n_hit > 0) == (r.n > 0) for r in got)
+    assert multiset((*r[:3], tuple(r['items'])) for r in got) == multiset(want)
     kept = decontaminate.decontaminate(docs, bench, block_words=block_words)
     assert kept.columns == docs.columns and kept.count() == clean
     assert decontaminate.find_contamination(nothing, bench).collect() == []
@@ -287,6 +288,71 @@ def test_longest_match(spark):
         (7 + i, i, 25 - i) for i in range(16)}
 
 
+def test_longest_matches_in_repetitive_texts():
+    """Every place against a search of all pairs."""
+    own = random.Random(4)
+    for trial in range(60):
+        items = [[own.choice("ab" if trial % 2 else "abcd") for _ in range(own.randrange(0, 25))]
+                 for _ in range(own.randrange(1, 5))]
+        texts = [[own.choice("abx" if trial % 3 else "ab") for _ in range(own.randrange(0, 40))] for _ in range(3)]
+        window = own.choice([2, 3, 5])
+        block = decontaminate.Benchmark.of(list(range(len(items))), [" ".join(i) for i in items], window)
+        found = decontaminate._Found(block, pa.array([" ".join(t) for t in texts]))
+        want, pairs = {}, set()
+        for row, t in enumerate(texts):
+            for w in range(len(t)):
+                best = 0
+                for number, item in enumerate(items):
+                    for i in range(len(item)):
+                        n = 0
+                        while w + n < len(t) and i + n < len(item) and t[w + n] == item[i + n]:
+                            n += 1
+                        if n >= window or item and len(item) < window and i == 0 and n == len(item):
+                            pairs.add((row, number))
+                            best = max(best, 0)
+                            want.setdefault((row, w), 0)
+                        best = max(best, n)
+                if (row, w) in want:
+                    want[row, w] = best
+        got = {}
+        for row, word, times, item_word, length, item in found.matches():
+            assert items[item][item_word:item_word + length] == texts[row][word:word + length]
+            got |= {(row, word + k): length for k in range(times)}
+        assert got == want
+        assert set(zip(*(x.tolist() for x in found.items()))) == pairs
+
+
+def test_one_repeated_word_takes_seconds():
+    import time
+    block = decontaminate.Benchmark.of([1, 2], ["a " * 10_000, "a " * 300 + "b"], 10)
+    start = time.time()
+    found = decontaminate._Found(block, pa.array(["a " * 1_000_000, "b"]))
+    matches = found.matches()
+    assert found.covered.sum() == 1_000_000 and [x.tolist() for x in found.items()] == [[0, 0], [0, 1]]
+    assert matches[0][4] == 10_000 and matches[0][2] == 990_001
+    assert time.time() - start < 60
+
+
+def thue_morse(letters):
+    """Two words that collide in every polynomial hash modulo 2 ** 64."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    return "".join(letters[b] for b in bits), "".join(letters[1 - b] for b in bits)
+
+
+def test_words_that_collide_in_rolling_hashes(spark):
+    one, other = thue_morse("ab")
+    tail = " ".join(f"w{i}" for i in range(34))
+    docs = spark.createDataFrame([(1, f"{tail} {one}"), (2, f"{tail} {other}")], "doc_id long, text string")
+    assert [r.n_removed for r in substring_dedup.substring_dedup(docs).collect()] == [0, 0]
+    bench = spark.createDataFrame([("i", one)], "item_id string, text string")
+    found = decontaminate.find_contamination(docs, bench).collect()
+    assert {r.doc_id: (r.n_hit, r["items"]) for r in found} == {1: (1, ["i"]), 2: (0, [])}
+    # Bytes: equal in no stretch of 50, and so untouched.
+    cut = [(1, one[:49] + "x" + other[100:149]), (2, other[:49] + "y" + one[100:149])]
+    rows = spark.createDataFrame(cut, "doc_id long, text string")
+    assert [r.n_removed for r in suffix_dedup.suffix_dedup(rows).collect()] == [0, 0]
+
+
 def test_line_dedup(docs, nothing):
     def key(line):
         return ascii_lower(line.strip(" \t\n\r\x0b\x0c"))
