@@ -227,11 +227,12 @@ def _resembling(docs: DataFrame, words: int, max_bits: int, similarity: float, l
                 "id": batch.column("id"), "mark": batch.column("mark"),
                 "fp": pa.array([_signed(fingerprint(h)) for h in made], pa.int64()),
                 "node": pa.array([resemblance.set_name(s) for s in sets], pa.int64()),
-                "bands": pa.array([resemblance.band_keys(s) for s in sets], pa.list_(pa.int64()))})
+                "bands": pa.array([resemblance.band_keys(s) for s in sets], pa.list_(pa.int64())),
+                **resemblance.marks(sets)})
 
     texts = documents(docs, id_col, text_col).withColumn("mark", mark(F.col("text")))
-    rows = stage(texts.mapInArrow(
-        prints, "id long, mark long, fp long, node long, bands array<long>"), "fingerprints")
+    rows = stage(texts.mapInArrow(prints, "id long, mark long, fp long, node long, bands array<long>, "
+                                  + resemblance.MARKS_DDL), "fingerprints")
     # Sets under one fingerprint, or under linked ones, are connected through the least of them.
     roots = components(links(rows.select("fp").distinct(), max_bits, longest))
     held = rows.select("fp", "node").distinct()
@@ -244,9 +245,13 @@ def _resembling(docs: DataFrame, words: int, max_bits: int, similarity: float, l
 
     one_each = rows.groupBy("node").agg(F.first("bands").alias("bands"))
     posts = stage(resemblance.shared_bands(one_each), "posts")
-    wanted = posts.select("node").distinct().join(
-        rows.groupBy("node").agg(F.min(F.struct("id", "mark")).alias("one")), "node").select(
-        F.col("one.id").alias("own_id"), F.col("one.mark").alias("own_mark"))
+    # What is known of the nodes that share a band; one row of each stands for it.
+    own = ["size", *resemblance.PARITIES]
+    nodes = rows.join(posts.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.min(F.struct("id", "mark", *own)).alias("one")).select("node", "one.*")
+    nodes = stage(nodes, "nodes")
+    wanted = nodes.select(F.col("id").alias("own_id"), F.col("mark").alias("own_mark"))
+    posts = posts.join(nodes.drop("id", "mark"), "node")
     same = F.col("id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark"))
     sets = resemblance.shingle_sets(texts.join(wanted, same, "left_semi").select("text"), hashes)
     sets = stage(sets.dropDuplicates(["node"]), "shingle-sets")

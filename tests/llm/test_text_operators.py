@@ -145,6 +145,29 @@ def test_exact_dedup_in_batches(spark, docs, tmp_path):
     assert [index.add(row).first().group_size for _ in range(3)] == [1, 2, 3]
 
 
+def test_a_batch_that_was_not_committed_does_not_count(spark, docs, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    index = exact_dedup.DigestIndex(spark, path, buckets=3)
+    first = docs.where("doc_id < 12")
+    before = multiset(index.add(first).collect())
+
+    def die(self, batch):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as patch:
+        patch.setattr(exact_dedup.DigestIndex, "_commit", die)
+        with pytest.raises(RuntimeError):
+            index.add(docs)
+    again = exact_dedup.DigestIndex(spark, path, buckets=99)
+    assert again.buckets == 3 and again.read().count() == len({r[-1] for r in before})
+    # The same batch once more, as if nothing had happened.
+    rest = docs.where("doc_id >= 12")
+    got = {r.doc_id: r for r in again.add(rest).collect()}
+    texts = collections.Counter(ascii_lower(t) for d, t in ROWS if d is not None)
+    for d, t in ROWS:
+        if d is not None and d >= 12:
+            assert got[d].group_size == texts[ascii_lower(t)]
+
+
 def plain_fingerprint(text, words):
     own = (text or "").encode().lower().split()
     shingles = [b" ".join(own[i:i + words]) for i in range(max(1, len(own) - words + 1))] if own else []
