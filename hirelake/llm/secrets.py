@@ -4,14 +4,15 @@ Base kinds (fixed patterns) are `assign`, `access` and `hex`. The method looks a
 runs of 20 or more base64-like characters with upper-case letters, lower-case letters and
 digits, outside the base spans. The 128-bit hash of every candidate value is counted over the
 corpus by distinct repositories and distinct owners (combined on the map side). A value that
-more than `max_owners` owners have is a copied example; one that a single owner has looks live.
-Tokens of a single owner are reported as spans of kind `token`; base spans always stay, with
-their verdict.
+more than `max_owners` owners have, or more than `max_repos` repositories, is a copied example; any
+other looks live if a single owner has it, and is shared if several have. Tokens are reported as
+spans of kind `token` unless they are examples; base spans always stay, with their verdict.
 
 Positions are code points, end exclusive. Texts are scanned once; only candidates, without
 their values, are written and shuffled. Defined cases: a null or empty text has no spans; a
 null repository or owner is one of its own, the same for all rows; rows repeated with id and
-text count once; null ids stay null; other columns are not read.
+text count once; null ids stay null; bytes that are no UTF-8 are read as U+FFFD; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -64,8 +65,9 @@ def _hash(value: str) -> bytes:
 def _candidates(batches) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         out: dict[str, list] = {n: [] for n in ("key", "repo", "owner", "kind", "start", "end", "hash")}
-        for key, repo, owner, text in zip(*(batch.column(c).to_pylist()
-                                            for c in ("key", "repo", "owner", "text"))):
+        texts = (b.decode(errors="replace") for b in batch.column("text").cast(pa.binary()).to_pylist())
+        for key, repo, owner, text in zip(*(batch.column(c).to_pylist() for c in ("key", "repo", "owner")),
+                                          texts):
             found = base_spans(text)
             for kind, start, end, value in found + tokens(text, found):
                 for n, x in zip(out, (key, repo, owner, kind, start, end, _hash(value))):
@@ -82,10 +84,12 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, repo_col: str = "source", owner_col: str = "source",
-                 max_owners: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 max_owners: int = 3, max_repos: int = 20, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
     """(id, spans): an array of (start, kind, end, repos, owners, verdict), sorted.
 
-    verdict is live (one owner), shared, or example (more than max_owners owners).
+    verdict is example (more than max_owners owners, or max_repos repositories), else live (one
+    owner) or shared.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     named = lambda c: F.coalesce(docs[c].cast("string"), F.lit(""))
@@ -94,10 +98,10 @@ def scan_secrets(docs: DataFrame, repo_col: str = "source", owner_col: str = "so
                        named(owner_col).alias("owner"), text.alias("text"))
     found = stage(rows.mapInArrow(_candidates, "key long, repo string, owner string, kind int, "
                                   "start long, end long, hash binary"), "candidates")
-    verdict = (F.when(F.col("owners") == 1, "live").when(F.col("owners") > max_owners, "example")
-               .otherwise("shared"))
+    copied = (F.col("owners") > max_owners) | (F.col("repos") > max_repos)
+    verdict = F.when(copied, "example").when(F.col("owners") == 1, "live").otherwise("shared")
     judged = found.join(ownership(found), "hash").withColumn("verdict", verdict)
-    judged = judged.where((F.col("kind") < 3) | (F.col("verdict") == "live"))
+    judged = judged.where((F.col("kind") < 3) | (F.col("verdict") != "example"))
     kinds = F.array(*map(F.lit, KINDS))
     spans = judged.groupBy("key").agg(F.array_sort(F.collect_set(F.struct(
         "start", F.col("kind").alias("rank"), "end", "repos", "owners", "verdict"))).alias("spans"))

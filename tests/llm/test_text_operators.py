@@ -477,7 +477,7 @@ def test_secret_scan(spark):
         (s.start, s.kind, s.end) for s in r.spans if s.kind != "token")) for r in got)
     by = {r.doc_id: r.spans for r in got}
     assert [s.kind for s in by[7]] == ["token"]  # one owner
-    assert not [s for s in by[1] if s.kind == "token"]  # KEY has two owners
+    assert [s.verdict for s in by[1] if s.kind == "token"] == ["shared"]  # KEY has two owners
     assert [s.verdict for s in by[2]] == ["shared"]
     assert secrets.scan_secrets(docs.where("false")).collect() == []
 
@@ -490,6 +490,32 @@ def test_copied_examples_are_told_from_live_values(spark):
     assert got[9].verdict == "live"
 
 
+def test_verdicts_of_tokens_follow_owners_and_repositories(spark):
+    """Against counts in plain Python: few owners, many owners, and one owner with many copies."""
+    own = random.Random(8)
+    keys = ["".join(own.choices("abcdefXYZ", k=22)) + "a7Q" for _ in range(12)]
+    rows = [(n, f"see {k} or {own.choice(keys)}", f"s{own.randrange(1 + i)}")
+            for n, (i, k) in enumerate((i, k) for i, k in enumerate(keys) for _ in range(1 + 3 * i))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    has = collections.defaultdict(set)
+    for doc, text, owner in rows:
+        for m in secrets.TOKEN.finditer(text):
+            has[m[0]].add((doc, owner))
+    want = {}
+    for doc, text, owner in rows:
+        spans = []
+        for m in secrets.TOKEN.finditer(text):
+            owners, repos = len({o for _, o in has[m[0]]}), len({d for d, _ in has[m[0]]})
+            if owners <= 3 and repos <= 20:
+                spans.append((m.start(), m.end(), repos, owners, "live" if owners == 1 else "shared"))
+        want[doc] = sorted(spans)
+    got = secrets.scan_secrets(docs, repo_col="doc_id").collect()
+    assert {r.doc_id: [(s.start, s.end, s.repos, s.owners, s.verdict) for s in r.spans] for r in got} == want
+    assert {s[-1] for x in want.values() for s in x} == {"live", "shared"} and [] in want.values()
+    broken = spark.sql("SELECT 1L AS doc_id, cast(X'FF6162' AS string) AS text, 's' AS source")
+    assert secrets.scan_secrets(broken).first().spans == []
+
+
 # --- language ------------------------------------------------------------------------------
 
 
