@@ -9,9 +9,9 @@ is marked in a bitfield, is never entered again, and takes back the piece that l
 is proportional to the text's length. Pieces that their own characters do not merge to never occur in
 a result and are left out.
 
-No piece of such a vocabulary has a space mark after another character, nor characters that are
-not in it; texts are cut there, and the pieces of a cut are kept for the next time it is seen. Texts
-are worked on by tasks, some at a time, and never gathered.
+Texts are cut where no piece can go across: before a space mark, and before signs that no piece has
+behind what comes before them. The ids of a cut are kept for the next time it is seen, up to a number of cuts. Texts are
+worked on by tasks, some at a time, and never gathered.
 
 Decoding maps ids to their texts, reads runs of byte pieces as UTF-8 (U+FFFD for each byte that is
 not), and takes away the one space that encoding puts in front.
@@ -26,13 +26,15 @@ from __future__ import annotations
 import codecs
 import re
 import struct
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain, groupby
+from itertools import groupby
 from pathlib import Path
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +46,11 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 KEPT_LENGTH = 64       # longer cuts are not kept
-KEPT = 1 << 19         # as many cuts, or pairs of pieces, are kept at a time
+KEPT = 1 << 20         # as many cuts, or pairs of pieces, are kept at a time
+
+_SIGNS = ".,;:!?$"
+_GAP = "\x1f"
+_LINE_END = f"{_GAP}\n{_GAP}"
 
 codecs.register_error("byte-by-byte", lambda e: ("�", e.start + 1))
 
@@ -74,14 +80,44 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class _Cuts(dict):
+    """The ids of cuts, four bytes each, kept for the next time."""
+
+    def __init__(self, model: Model):
+        self.model = model
+
+    def __missing__(self, text: str) -> bytes:
+        ids = array("i", self.model.cut_ids(text)).tobytes()
+        if len(text) <= KEPT_LENGTH:
+            if len(self) >= KEPT:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
+class _Pairs(dict):
+    """Whether two pieces (left << 32 | right) stay as they are when their characters are merged anew."""
+
+    def __init__(self, model: Model):
+        self.model = model
+
+    def __missing__(self, pair: int) -> bool:
+        if len(self) >= KEPT:
+            self.clear()
+        a, b = self.model.texts[pair >> 32], self.model.texts[pair & 0xFFFFFFFF]
+        known = self[pair] = self.model.merged(a + b) == [a, b]
+        return known
+
+
 @dataclass
 class Model:
     """The vocabulary of a model of merge type with byte pieces, and an encoder over it."""
     texts: list[str]
     scores: list[float]
     kinds: list[int]
-    _pairs: dict[int, bool] = field(default_factory=dict)
-    _cuts: dict[str, list[int]] = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.cuts, self.pairs = _Cuts(self), _Pairs(self)
 
     @classmethod
     def read(cls, path: str) -> Model:
@@ -104,9 +140,6 @@ class Model:
             raise ValueError(f"{path} is not a plain merge model with byte pieces")
         return cls(texts, scores, kinds)
 
-    def __getstate__(self):
-        return {"texts": self.texts, "scores": self.scores, "kinds": self.kinds, "_pairs": {}, "_cuts": {}}
-
     # --- tables ---
 
     @cached_property
@@ -137,7 +170,7 @@ class Model:
     def automaton(self) -> ahocorasick.Automaton:
         made = ahocorasick.Automaton()
         for text, number in self.reachable.items():
-            made.add_word(text, (len(text), number))
+            made.add_word(text, (len(text) - 1, number))
         made.make_automaton()
         return made
 
@@ -153,13 +186,12 @@ class Model:
     @cached_property
     def cutter(self) -> re.Pattern:
         """Cuts a text where no piece goes across."""
-        letters = set("".join(self.ids))
-        ends = "".join(c for c in "\n\r\t" if c not in letters)
-        joined = any(SPACE in t.lstrip(SPACE) for t in self.ids)
-        if joined:
-            return re.compile(f"[{ends}]|[^{ends}]+" if ends else r"(?s).+")
-        return re.compile(f"[{ends}]|{SPACE}*[^{SPACE}{ends}]+|{SPACE}+" if ends
-                          else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        return re.compile(rf"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+" if self.simple else r"(?s).+")
+
+    @cached_property
+    def simple(self) -> bool:
+        """No piece has a line end, or a space mark after another character."""
+        return not any("\n" in t or SPACE in t.lstrip(SPACE) for t in self.ids)
 
     # --- encoding ---
 
@@ -177,74 +209,78 @@ class Model:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, left: int, right: int) -> bool:
-        """Whether the two pieces stay as they are when their characters are merged anew."""
-        key = left << 32 | right
-        known = self._pairs.get(key)
-        if known is None:
-            if len(self._pairs) >= KEPT:
-                self._pairs.clear()
-            a, b = self.texts[left], self.texts[right]
-            known = self._pairs[key] = self.merged(a + b) == [a, b]
-        return known
-
     def _known_part(self, text: str) -> list[int]:
         """Pieces of a text all of whose characters are pieces."""
         n = len(text)
-        longest = [-1] * n
-        for end, (size, number) in self.automaton.iter(text):
-            longest[end - size + 1] = number  # ends grow, so the longest comes last
-        sizes, shorter = self.sizes, self.shorter
-        failed = bytearray((n >> 3) + 1)
+        longest = [0] * n
+        for end, (before, number) in self.automaton.iter(text):
+            longest[end - before] = number  # ends grow, so the longest comes last
+        sizes, shorter, pairs = self.sizes, self.shorter, self.pairs
+        failed, failures = bytearray((n >> 3) + 1), False
         laid: list[int] = []
-        at, number = 0, longest[0]
+        at, number, last = 0, longest[0], -1
         while True:
-            last = laid[-1] if laid else -1
             while number >= 0:
-                end = at + sizes[number]
-                if not failed[end >> 3] >> (end & 7) & 1 and (last < 0 or self.compatible(last, number)):
-                    break
+                if last < 0 or pairs[last << 32 | number]:
+                    end = at + sizes[number]
+                    if not (failures and failed[end >> 3] >> (end & 7) & 1):
+                        break
                 number = shorter[number]
             if number >= 0:
                 laid.append(number)
-                at = end
+                at, last = end, number
                 if at == n:
                     return laid
                 number = longest[at]
             else:
+                failures = True
                 failed[at >> 3] |= 1 << (at & 7)
                 number = laid.pop()
                 at -= sizes[number]
+                last = laid[-1] if laid else -1
 
     def cut_ids(self, text: str) -> list[int]:
-        """Ids of a cut: pieces, and bytes of the characters that are none."""
+        """Ids of a cut: pieces, and bytes of the characters that are none.
+
+        Signs at the end are cut off where no piece has both neighbours; parts are kept as cuts are.
+        """
+        at = len(text.rstrip(_SIGNS))
+        if 0 < at < len(text) and text[at - 1:at + 1] not in self.inner:
+            return np.frombuffer(self.cuts[text[:at]] + self.cuts[text[at:]], "<i4").tolist()
+        if not self.foreign.search(text):
+            return self._known_part(text) if text else []
         out: list[int] = []
-        reachable, begin = self.reachable, 0
-        for at, letter in enumerate(text):
-            if letter not in reachable:
-                if begin < at:
-                    out += self._known_part(text[begin:at])
-                out += [self.bytes[b] for b in letter.encode()]
-                begin = at + 1
-        if begin < len(text):
-            out += self._known_part(text[begin:])
+        for n, part in enumerate(self.foreign.split(text)):
+            if n % 2:
+                out += [self.bytes[b] for b in part.encode()]
+            elif part:
+                out += self._known_part(part)
         return out
 
-    def _cut(self, text: str) -> list[int]:
-        ids = self._cuts.get(text)
-        if ids is None:
-            ids = self.cut_ids(text)
-            if len(text) <= KEPT_LENGTH:
-                if len(self._cuts) >= KEPT:
-                    self._cuts.clear()
-                self._cuts[text] = ids
-        return ids
+    @cached_property
+    def inner(self) -> set[str]:
+        """Every two neighbours that some piece has."""
+        return {t[i:i + 2] for t in self.reachable for i in range(len(t) - 1)}
 
-    def encode(self, text: str) -> list[int]:
+    @cached_property
+    def foreign(self) -> re.Pattern:
+        """Characters that are no pieces."""
+        letters = "".join(re.escape(t) for t in self.reachable if len(t) == 1)
+        return re.compile(f"([^{letters}]+)")
+
+    def pack(self, text: str) -> bytes:
+        """The ids of a text, four bytes each."""
         if not text:
-            return []
+            return b""
+        if self.simple and not (text[0] == " " or _GAP in text or SPACE in text or "  " in text):
+            # Single spaces only: the text is cut before each, and around line ends.
+            whole = f"{SPACE}{text}".replace(" ", _GAP + SPACE).replace("\n", _LINE_END)
+            return b"".join(map(self.cuts.__getitem__, whole.split(_GAP)))
         whole = SPACE + text.replace(" ", SPACE)
-        return list(chain.from_iterable(map(self._cut, self.cutter.findall(whole))))
+        return b"".join(map(self.cuts.__getitem__, self.cutter.findall(whole)))
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.pack(text), "<i4").tolist()
 
     # --- decoding ---
 
@@ -303,13 +339,15 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
 
     def task(batches) -> Iterator[pa.RecordBatch]:
         own = _own(shared.value)
-        last = [own.end_id] if end else []
+        last = np.array([own.end_id] if end else [], "<i4").tobytes()
         for batch in slices(batches):
             texts = (b.decode("utf-8", "byte-by-byte") for b in batch.column("text").to_pylist())
-            ids = [own.encode(t) + last for t in texts]
+            ids = [np.frombuffer(own.pack(t) + last, "<i4") for t in texts]
+            ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
             yield pa.RecordBatch.from_pydict({
-                "id": batch.column("id"), "ids": pa.array(ids, pa.list_(pa.int32())),
-                "decoded": pa.array([own.decode(i) for i in ids], pa.string())})
+                "id": batch.column("id"), "ids": pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32())),
+                "decoded": pa.array([own.decode(i.tolist()) for i in ids], pa.string())})
 
     text = F.coalesce(docs[text_col].cast("string"), F.lit("")).cast("binary")
     rows = docs.select(docs[id_col].cast("long").alias("id"), text.alias("text"))
