@@ -1,14 +1,13 @@
-"""Suffix dedup by prefix doubling: remove bytes of strings that an earlier document has.
-
-The ranks of suffixes by their first 25 bytes, half the threshold, are names (64-bit hashes), as
-only equality matters for repeats. Only one suffix in a run of windows with an equal minimum is
-ranked (see `repeats`): ranking every byte would move 16 bytes per byte of text and round, many
-times the input. Spark shuffles the named positions and drops those that no other document has.
-The rest are ranked by pairs: their name, and the name of what follows up to the end of their
-run. Where all pairs of a name agree, they are decided: all but the first document's go. Where
-pairs differ, the positions of a name are sorted next to each other with their bytes, and their
-strings are ranked once more at the threshold. Names with over GROUP positions are not gathered:
-their strings are dealt out and ranked one by one.
+"""Suffix dedup: remove bytes of strings that an earlier document has.
+
+Strings are compared at two lengths, 25 bytes (half the threshold) and 50, by names: 64-bit hashes, as
+only equality matters. This is not the dealt prefix doubling: nothing is ranked and there are no rounds
+of growing offsets. Only one position in a run of windows with an equal minimum is named (see
+`repeats`); a rank for every byte would move 16 bytes per byte of text and round. Spark shuffles the
+named positions and drops those that no other document has. Where all runs of a name are equal to
+their ends, they are decided: all but the first document's go. Where they differ, the positions of a
+name are sorted next to each other with their bytes, and their strings are compared at the threshold.
+Names with over GROUP positions are not gathered: their strings are dealt out one by one.
 
 Defined cases: a null or empty text has no bytes; a row given twice under one id is no earlier
 document; a null id counts as the largest, and null ids never precede each other; matches stop
