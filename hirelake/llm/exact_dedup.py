@@ -110,14 +110,20 @@ class DigestIndex:
         """
         return self._decide(docs, id_col, text_col, batches).drop("mark").withColumnRenamed("id", id_col)
 
+    def forget(self) -> None:
+        """Take the two tables out of the catalog; their files stay, and so do frames that read them."""
+        for name in (self.name, self.more_name):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
     def _last_batch(self) -> int:
         tables = (self.spark.table(self.name), self.spark.table(self.more_name))  # failed ones too
         return max(t.agg(F.max("batch")).first()[0] or 0 for t in tables)
 
     def _write(self, rows: DataFrame, name: str, path: str) -> None:
-        # One file per bucket: the rows are dealt out as the buckets are.
+        # One file per bucket, whatever the number of tasks: rows go to their bucket's number.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
         with _setting(self.spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
-            (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
+            (rows.repartitionById(self.buckets, bucket).write.mode("append").format("parquet")
              .option("path", path).bucketBy(self.buckets, "digest").sortBy("digest")
              .saveAsTable(name))
 
@@ -177,19 +183,29 @@ def _largest_first(rows: DataFrame, batches: int) -> list[DataFrame]:
     return [*parts, rows.where(left)]
 
 
+@contextmanager
+def _index(docs: DataFrame, path: str | None, buckets: int | None) -> Iterator[DigestIndex]:
+    """The index at path, or one of this call's own, which leaves nothing in the catalog."""
+    spark = docs.sparkSession
+    index = DigestIndex(spark, path or scratch_path(spark, "digest-index"), buckets or _buckets_for(docs))
+    try:
+        yield index
+    finally:
+        if path is None:
+            index.forget()
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 batches: int = BATCHES, path: str | None = None,
                 buckets: int | None = None) -> DataFrame:
     """The decisions of some batches against the index at path, or one of its own."""
-    spark = docs.sparkSession
-    index = DigestIndex(spark, path or scratch_path(spark, "digest-index"), buckets or _buckets_for(docs))
-    return index.add(docs, id_col, text_col, batches)
+    with _index(docs, path, buckets) as index:
+        return index.add(docs, id_col, text_col, batches)
 
 
 def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   batches: int = BATCHES, path: str | None = None,
                   buckets: int | None = None) -> DataFrame:
     """One row of docs for each distinct text that the index at path, if given, did not hold."""
-    spark = docs.sparkSession
-    index = DigestIndex(spark, path or scratch_path(spark, "digest-index"), buckets or _buckets_for(docs))
-    return index.keep_new(docs, id_col, text_col, batches)
+    with _index(docs, path, buckets) as index:
+        return index.keep_new(docs, id_col, text_col, batches)

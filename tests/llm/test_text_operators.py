@@ -145,6 +145,27 @@ def test_exact_dedup_in_batches(spark, docs, tmp_path):
     assert [index.add(row).first().group_size for _ in range(3)] == [1, 2, 3]
 
 
+def test_an_index_of_a_call_leaves_no_tables(spark, docs):
+    before = {t.name for t in spark.catalog.listTables()}
+    found, kept = exact_dedup.exact_dedup(docs), exact_dedup.keep_distinct(docs)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert found.count() == len(ROWS)
+    assert kept.count() == found.select("text_sha256").distinct().count()
+
+
+def test_each_bucket_is_one_file(spark, tmp_path):
+    """Also where a shuffle has more partitions than the index has buckets."""
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), buckets=5)
+    docs = spark.range(400).selectExpr("id as doc_id", "cast(id % 300 as string) as text")
+    with exact_dedup._setting(spark, "spark.sql.shuffle.partitions", "13"):
+        assert index.add(docs).where("kept").count() == 300
+    files = [p for p in (tmp_path / "index").glob("*.parquet")]
+    assert len(files) == 5
+    # The bucket named by the file holds the digests that Spark looks for in it.
+    assert index.read().join(docs.select(exact_dedup.digest(F.col("text")).alias("digest")).distinct(),
+                             "digest").count() == 300
+
+
 def test_a_batch_that_was_not_committed_does_not_count(spark, docs, tmp_path, monkeypatch):
     path = str(tmp_path / "index")
     index = exact_dedup.DigestIndex(spark, path, buckets=3)
