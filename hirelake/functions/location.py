@@ -10,7 +10,7 @@ from hirelake.functions.text import bind, lookup, strip
 # State name to code.
 US_STATE_NAMES = {
     "alabama": "AL", "alaska": "AK", "arizona": "AZ", "arkansas": "AR", "california": "CA",
-    "colorado": "CO", "connecticut": "CT", "delaware": "DE", "district of columbia": "DC",
+    "colorado": "CO", "connecticut": "CT", "delaware": "DE",
     "florida": "FL", "georgia": "GA", "hawaii": "HI", "idaho": "ID", "illinois": "IL",
     "indiana": "IN", "iowa": "IA", "kansas": "KS", "kentucky": "KY", "louisiana": "LA",
     "maine": "ME", "maryland": "MD", "massachusetts": "MA", "michigan": "MI",
@@ -21,7 +21,9 @@ US_STATE_NAMES = {
     "rhode island": "RI", "south carolina": "SC", "south dakota": "SD", "tennessee": "TN",
     "texas": "TX", "utah": "UT", "vermont": "VT", "virginia": "VA", "washington": "WA",
     "west virginia": "WV", "wisconsin": "WI", "wyoming": "WY",
+    "district of columbia": "DC",
 }
+# Province codes, spellings of countries, words that are no place.
 CA_PROVINCES = ("AB", "BC", "MB", "NB", "NL", "NS", "NT", "NU", "ON", "PE", "QC", "SK", "YT")
 COUNTRY_NAMES = {
     "US": "US", "USA": "US", "UNITED STATES": "US", "UNITED STATES OF AMERICA": "US",

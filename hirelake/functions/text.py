@@ -47,13 +47,14 @@ def lookup(table: dict[str, str], key: Column) -> Column:
 
 # --- HTML ---------------------------------------------------------------------------
 
-# What separates two text nodes: comments, elements whose text is not page text, tags
-# (quoted attribute values may hold '>'), declarations. Possessive loops, so that long
-# attributes do not recurse.
+# What separates two text nodes: comments, elements whose text is not page text, CDATA
+# sections (group 2: their text), tags (quoted attribute values may hold '>'), declarations.
+# Possessive loops, so that long attributes do not recurse.
 _MARKUP = (
     r"(?is)<(?:"
     r"!--.*?--!?>"
     r"|(script|style|template|rt|rp)(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\z)"
+    r"|!\[cdata\[(.*?)\]\s*\]\s*>"
     r"""|/?[a-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
     r"|/?[a-z][^>]*+>"
     r"|[!?/][^>]*+>)"
@@ -107,14 +108,23 @@ def html_to_text(c: Column, unescape_first: bool = False) -> Column:
     """Text nodes of an HTML fragment, each trimmed, blank ones dropped, one per line.
 
     Null and '' give null. One level of character references is decoded; a payload that
-    holds entity-escaped markup therefore yields markup, unless unescape_first is set.
+    holds entity-escaped markup therefore yields markup, unless unescape_first is set. A CDATA
+    section is a text node of its own, in which nothing is decoded.
     """
-    source = unescape(c) if unescape_first else c
-    nodes = F.transform(F.split(source, _MARKUP, -1), lambda t: strip(unescape(t)))
-    text = F.array_join(F.filter(nodes, lambda t: t != ""), "\n")
+    text = bind(unescape(c), _text_nodes) if unescape_first else _text_nodes(c)
     return F.when(non_empty(c).isNotNull(), text)
 
 
+def _text_nodes(source: Column) -> Column:
+    plain = F.transform(F.split(source, _MARKUP, -1), lambda t: strip(unescape(t)))
+    sections = F.transform(F.regexp_extract_all(source, F.lit(_MARKUP), F.lit(2)), strip)
+    # A section follows the text before its markup; the last text has none after it.
+    mixed = F.flatten(F.zip_with(
+        plain, sections, lambda text, cdata: F.array(text, F.coalesce(cdata, F.lit("")))))
+    nodes = F.when(source.contains("<!["), mixed).otherwise(plain)
+    return F.array_join(F.filter(nodes, lambda t: t != ""), "\n")
+
+
 # --- content hash -------------------------------------------------------------------
 
 

@@ -54,6 +54,11 @@ class TextNodes(HTMLParser):
 
     handle_decl = handle_pi = handle_comment
 
+    def unknown_decl(self, data):
+        self.end_node()
+        if not self.hidden and data[:6].lower() == "cdata[":
+            self.nodes.append(data[6:])
+
 
 def walked(html):
     if not html:
@@ -82,6 +87,7 @@ PIECES = [
     "&#128512;", "<!-- c <p> -->", "<script>if (a</b>1) '<p>'</script>", "<style>p > a {}</style>",
     "<template><i>no</i></template>", " ", "\n\t", "1 < 2", "é ß", "<!DOCTYPE html>",
     "<ruby>字<rt>zi</rt></ruby>", "&NotEqualTilde; ", "&apos;",
+    "<![CDATA[ a < b > &amp; <p>c</p> ]]>", "<![cdata[]]>", "<![CDATA[x] ] >",
 ]
 
 
@@ -92,3 +98,10 @@ def test_fragments(spark, seed):
     got = spark_text(spark, pages)
     wrong = [(p, g, walked(p)) for p, g in zip(pages, got) if g != walked(p)]
     assert wrong == []
+
+
+def test_cdata_is_a_text_node_of_its_own(spark):
+    pages = ["a<![CDATA[b &amp; <i>c</i> > d]]>e &amp; f", "<![CDATA[ ]]>", "<!-- <![CDATA[x]]> -->y",
+             "<script><![CDATA[x]]></script>z", "&lt;![CDATA[x]]&gt;", "<![CDATA[one]]><![CDATA[two]]>"]
+    assert spark_text(spark, pages) == [
+        "a\nb &amp; <i>c</i> > d\ne & f", "", "y", "z", "<![CDATA[x]]>", "one\ntwo"]

@@ -10,7 +10,7 @@ from workload.queries import QUERIES
 FOLDER = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["external_count_all", "label_rules_text"])
+@pytest.mark.parametrize("name", ["external_count", "external_count_all", "label_rules_text"])
 def test_equal_to_sql(spark, name):
     assert compare(spark, connect(FOLDER), FOLDER, name, QUERIES[name], ORACLES[name]) is None
 
@@ -23,6 +23,13 @@ def test_every_company_is_counted(spark):
         "company_name is not null").count()
 
 
+def test_stored_companies_without_postings_count_zero(spark):
+    stored = {r.c_name for r in spark.read.parquet(f"{FOLDER}/customer.parquet").collect()}
+    found = {r.company_name: r.job_count for r in QUERIES["external_count"](spark, FOLDER).collect()}
+    assert stored <= set(found) and all(found[name] == 0 for name in stored)
+    assert any(found.values())
+
+
 def test_label_rules_read_every_row(spark):
     count = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet").count()
     found = QUERIES["label_rules_text"](spark, FOLDER).groupBy("source").count().collect()

@@ -6,8 +6,6 @@ per rule, joins in place of unions.
 
 from __future__ import annotations
 
-from hirelake.functions.labels import EMPLOYMENT_TYPES, EXPERIENCE_KEYWORDS
-from hirelake.functions.location import CA_PROVINCES, US_STATE_NAMES
 from workload.inputs import COMMITMENTS, LINE_ORDER, LOCATIONS, RUN_1, RUN_2, TITLES
 from workload.queries import CUTOFF
 
@@ -16,6 +14,68 @@ WS = ("chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||chr(28)||chr(29)||chr(30)||ch
       + "||".join(f"chr({c})" for c in [*range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
 
 
+# Fixed values of the rules, written out here so that a slip in the library's tables shows.
+# The first keyword found in a title decides.
+LEVELS = (
+    ("intern", "internship"),
+    ("internship", "internship"),
+    ("entry", "entry"),
+    ("entry level", "entry"),
+    ("entry-level", "entry"),
+    ("new grad", "entry"),
+    ("new college grad", "entry"),
+    ("junior", "junior"),
+    ("jr.", "junior"),
+    ("jr ", "junior"),
+    ("mid", "mid"),
+    ("mid level", "mid"),
+    ("mid-level", "mid"),
+    ("senior", "senior"),
+    ("sr.", "senior"),
+    ("sr ", "senior"),
+    ("staff", "senior"),
+    ("principal", "senior"),
+    ("lead", "senior"),
+    ("director", "executive"),
+    ("vp ", "executive"),
+    ("vice president", "executive"),
+    ("head of", "executive"),
+)
+# Keys as written, then in lower case.
+COMMITMENT_TYPES = {
+    "full time": "full-time",
+    "full-time": "full-time",
+    "fulltime": "full-time",
+    "part time": "part-time",
+    "part-time": "part-time",
+    "contract": "contract",
+    "contractor": "contract",
+    "intern": "internship",
+    "internship": "internship",
+    "co-op": "internship",
+    "FullTime": "full-time",
+    "PartTime": "part-time",
+    "Intern": "internship",
+    "Contract": "contract",
+    "Temporary": "contract",
+    "permanent": "full-time",
+}
+STATES = {
+    "alabama": "AL", "alaska": "AK", "arizona": "AZ", "arkansas": "AR", "california": "CA",
+    "colorado": "CO", "connecticut": "CT", "delaware": "DE", "florida": "FL", "georgia": "GA",
+    "hawaii": "HI", "idaho": "ID", "illinois": "IL", "indiana": "IN", "iowa": "IA",
+    "kansas": "KS", "kentucky": "KY", "louisiana": "LA", "maine": "ME", "maryland": "MD",
+    "massachusetts": "MA", "michigan": "MI", "minnesota": "MN", "mississippi": "MS",
+    "missouri": "MO", "montana": "MT", "nebraska": "NE", "nevada": "NV", "new hampshire": "NH",
+    "new jersey": "NJ", "new mexico": "NM", "new york": "NY", "north carolina": "NC",
+    "north dakota": "ND", "ohio": "OH", "oklahoma": "OK", "oregon": "OR", "pennsylvania": "PA",
+    "rhode island": "RI", "south carolina": "SC", "south dakota": "SD", "tennessee": "TN",
+    "texas": "TX", "utah": "UT", "vermont": "VT", "virginia": "VA", "washington": "WA",
+    "west virginia": "WV", "wisconsin": "WI", "wyoming": "WY", "district of columbia": "DC",
+}
+PROVINCES = ("AB", "BC", "MB", "NB", "NL", "NS", "NT", "NU", "ON", "PE", "QC", "SK", "YT")
+
+
 # --- pieces -----------------------------------------------------------------------------
 
 
@@ -46,21 +106,21 @@ def valid(x: str) -> str:
 
 def level(title: str) -> str:
     whens = " ".join(f"WHEN contains(lower({title}), '{k}') THEN '{v}'"
-                     for k, v in EXPERIENCE_KEYWORDS)
+                     for k, v in LEVELS)
     return f"CASE {whens} ELSE 'unknown' END"
 
 
 def employment(raw: str) -> str:
     def case(x):
         return f"CASE {x} " + " ".join(
-            f"WHEN '{k}' THEN '{v}'" for k, v in EMPLOYMENT_TYPES.items()) + " END"
+            f"WHEN '{k}' THEN '{v}'" for k, v in COMMITMENT_TYPES.items()) + " END"
     return f"coalesce({case(raw)}, {case(f'lower({raw})')}, 'full-time')"
 
 
 def located(rows: str) -> str:
     """CTEs over `rows` (with loc) up to `place`: all its columns, city, state, country, remote."""
-    states, provinces = quoted(US_STATE_NAMES.values()), quoted(CA_PROVINCES)
-    names = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in US_STATE_NAMES.items())
+    states, provinces = quoted(STATES.values()), quoted(PROVINCES)
+    names = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STATES.items())
     return f"""
       tok AS (SELECT *, list_filter(list_transform(string_split(
                 regexp_replace(loc, '\\([^\\n]*?\\)', '', 'g'), ','), lambda x: {strip('x')}),
@@ -492,8 +552,9 @@ ORACLES = {
     "count_by_company": f"WITH {NAMED} SELECT * FROM ours",
     "external_count": f"""WITH {BOARDS},
           p AS (SELECT upper(substr(label, 1, 1)) || lower(substr(label, 2)) AS company_name, page_id FROM boards),
-          w AS (SELECT company_name FROM p WHERE page_id % 5 = 0 UNION SELECT 'No Such')
-        SELECT w.company_name, count(p.page_id) AS job_count FROM w LEFT JOIN p USING (company_name) GROUP BY 1""",
+          w AS (SELECT company_name FROM p WHERE company_name IS NOT NULL UNION SELECT c_name FROM customer)
+        SELECT w.company_name, count(p.page_id) AS job_count FROM w LEFT JOIN p USING (company_name)
+        WHERE w.company_name IS NOT NULL GROUP BY 1""",
     "external_count_all": f"""WITH {BOARDS},
           p AS (SELECT upper(substr(label, 1, 1)) || lower(substr(label, 2)) AS company_name, page_id FROM boards),
           w AS (SELECT company_name FROM p UNION SELECT 'No Such')

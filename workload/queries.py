@@ -398,11 +398,10 @@ def count_by_company(spark, folder):
 
 @query
 def external_count(spark, folder):
-    """Aggregator postings of the companies that every fifth page names, and of one unknown."""
+    """Aggregator postings of every company known: named by a page, or stored (customers)."""
     postings = inputs.aggregator_postings(spark, folder)
-    wanted = postings.where(F.col("posting_id").cast("bigint") % 5 == 0).select("company_name")
-    unknown = spark.createDataFrame([("No Such",)], "company_name string")
-    return coverage.external_counts(postings, wanted.union(unknown))
+    stored = table(spark, folder, "customer").select(F.col("c_name").alias("company_name"))
+    return coverage.external_counts(postings, postings.select("company_name").union(stored))
 
 
 @query
