@@ -564,6 +564,44 @@ def test_language_id(spark, docs, nothing):
     assert langid.identify(nothing, model).collect() == []
 
 
+def plain_scores(model, text):
+    """Score of each language: subwords taken one by one, averaged, softmax."""
+    letters = [c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32
+               for c in (text or "").encode()]
+    total, n = np.zeros(len(model.weights)), 0
+    for order, size in enumerate((2, 3, 4)):
+        for i in range(len(letters) - size + 1):
+            part = letters[i:i + size]
+            if 32 in part[1:-1] or part == [32, 32]:
+                continue  # not in one word
+            number = sum(c << 8 * k for k, c in enumerate(part)) * 0x9E3779B1 % (1 << 32) >> 18
+            total += model.weights[:, order * (1 << 14) + number]
+            n += 1
+    mean = total / max(1, n)
+    logits = ((mean if model.softmax is None else mean @ model.softmax) + model.bias) / model.temperature
+    odds = np.exp(logits - logits.max())
+    return odds / odds.sum()
+
+
+def test_predictions_equal_a_plain_scorer(spark, docs):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    both = table.union(docs.select("doc_id", "text", "lang").withColumn(
+        "doc_id", -1 - F.coalesce("doc_id", F.lit(0))))
+    for dim in (16, 2):  # folded into one number per language, and not
+        model = langid.train(*langid.sample(table, "doc_id", "text", "lang", per_language=60), dim=dim)
+        assert (model.softmax is None) == (dim == 16)
+        want = collections.Counter()
+        for r in both.collect():
+            scores = plain_scores(model, r.text)
+            known = any(c.isalpha() for c in r.text or "")
+            want[r.doc_id, model.languages[scores.argmax()] if known else "und",
+                 round(scores.max() if known else 0.0, 9),
+                 bool(not known or scores.max() < model.threshold)] += 1
+        assert want == collections.Counter(
+            (r.doc_id, r.lang_pred, round(r.score, 9), r.rejected)
+            for r in langid.identify(both, model).collect())
+
+
 def test_every_label_is_learned(spark):
     """More than a hundred labels; one with long texts only, one with a single text."""
     own = random.Random(8)
