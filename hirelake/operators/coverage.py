@@ -68,12 +68,11 @@ def by_count(counts: DataFrame) -> DataFrame:
 def external_counts(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     """(company_name, job_count) of the wanted companies in another source's postings.
 
-    Names have to be equal; a company without postings counts 0. Postings are reduced to
-    wanted names before they are counted.
+    Names have to be equal; a company without postings counts 0. Postings are counted before
+    they meet the names, so a company that has most of them is one row per map task.
     """
     names = wanted.where(F.col("company_name").isNotNull()).select("company_name").distinct()
-    found = jobs_per_company(postings.join(names, "company_name", "left_semi"))
-    return names.join(found, "company_name", "left").select(
+    return names.join(jobs_per_company(postings), "company_name", "left").select(
         "company_name", F.coalesce("job_count", F.lit(0)).alias("job_count"))
 
 
