@@ -1,13 +1,19 @@
 """Suffix dedup: remove bytes of strings that an earlier document has.
 
-Strings are compared at two lengths, 25 bytes (half the threshold) and 50, by names: 64-bit hashes, as
-only equality matters. This is not the dealt prefix doubling: nothing is ranked and there are no rounds
-of growing offsets. Only one position in a run of windows with an equal minimum is named (see
-`repeats`); a rank for every byte would move 16 bytes per byte of text and round. Spark shuffles the
-named positions and drops those that no other document has. Where all runs of a name are equal to
-their ends, they are decided: all but the first document's go. Where they differ, the positions of a
-name are sorted next to each other with their bytes, and their strings are compared at the threshold.
-Names with over GROUP positions are not gathered: their strings are dealt out one by one.
+Prefix doubling, up to the threshold of 50 bytes. First every position would get a name of 25 bytes, a
+64-bit hash; only one in a run of windows with an equal minimum is named (see `repeats`), as a name
+for every byte would move 16 bytes per byte of text. Spark shuffles the named positions and drops
+those that no other document has. Where all runs of a name are equal to their ends, they are
+decided: all but the first document's go. Where they differ, Spark sorts the positions by name, with
+their bytes, and each stretch of the sort is ranked: strings of 25 bytes (BASE) first, compared by
+content, then pairs of the ranks of a place and of the one 25 bytes on, and so on with doubled
+offsets for longer thresholds. Places whose rank no second document has leave; at the threshold the
+ranks are left with the documents to keep. Names with over GROUP positions are not gathered: their
+strings are dealt out one by one and compared by name and hash.
+
+Chance collisions: two names that collide are told apart by what follows. Only runs of one name that
+differ and have equal hashes of 64 bits (of the whole run; of the string in names over GROUP) would
+be taken for equal.
 
 Defined cases: a null or empty text has no bytes; a row given twice under one id is no earlier
 document; a null id counts as the largest, and null ids never precede each other; matches stop
@@ -27,6 +33,7 @@ from hirelake.llm.common import BYTE_VALUES, Rolling, documents, list_parts, sli
 from hirelake.llm.repeats import RepeatFinder, Runs, grouped, only
 
 GROUP = 1 << 17  # positions of a name that are compared in one place, some 10 MB
+BASE = 25  # ranking starts at no more bytes
 CHUNK = 1 << 15  # positions that a task compares at a time, and the rest of a name
 
 _LAST = np.iinfo(np.int64).max
@@ -58,6 +65,43 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("id").fill_null(_LAST).to_numpy(False)
 
 
+def dense_ranks(values: np.ndarray) -> np.ndarray:
+    """Place of each value among the distinct ones."""
+    order = np.argsort(values)
+    ordered = values[order]
+    out = np.zeros(len(values), np.uint64)
+    if len(values):
+        out[order[1:]] = np.cumsum(ordered[1:] != ordered[:-1])
+    return out
+
+
+def string_ranks(data: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """Numbers of the strings of that length: equal exactly where the bytes are.
+
+    Strings are sorted by hash; neighbours of one hash are compared byte by byte, and should two
+    differ, the strings are sorted by their bytes instead.
+    """
+    values = Rolling(BYTE_VALUES[data]).all(length)[places]
+    order = np.argsort(values)
+    ordered, at = values[order], places[order]
+    same = np.flatnonzero(ordered[1:] == ordered[:-1])
+    width = 8 if length >= 8 else 1
+    words = np.ndarray(max(0, len(data) - width + 1), f"<u{width}", np.ascontiguousarray(data),
+                       strides=(1,))
+    parts = sorted({*range(0, length - width + 1, width), length - width})
+    if any((words[at[same] + o] != words[at[same + 1] + o]).any() for o in parts):
+        keys = [words[places + o] for o in parts]
+        order = np.lexsort(keys)
+        new = np.zeros(len(places) - 1, bool)
+        for key in keys:
+            new |= key[order[1:]] != key[order[:-1]]
+    else:
+        new = ordered[1:] != ordered[:-1]
+    out = np.zeros(len(places), np.uint64)
+    out[order[1:]] = np.cumsum(new)
+    return out
+
+
 def _stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All places of stretches, one stretch after the other."""
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
@@ -168,18 +212,11 @@ class EarlierFinder(RepeatFinder):
 
     def _compared(self, rows: pa.Table) -> pa.RecordBatch:
         data, ends = text_bytes(rows.column("bytes").combine_chunks())
-        every = Rolling(BYTE_VALUES[data]).all(self.window)
         counts = np.diff(ends) - self.window + 1
         at = _stretches(ends[:-1], counts)
         run = np.repeat(np.arange(len(counts)), counts)
         ids = rows.column("id").to_numpy()
-        own = ids[run]
-        order = np.lexsort((own, every[at]))
-        values = every[at][order]
-        new = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        least = np.repeat(own[order][new], np.diff(np.append(new, len(order))))
-        gone = np.zeros(len(order) + 1, bool)
-        gone[order] = own[order] > least
+        gone = np.append(self.has_earlier(data, at, ids[run]), False)
         edge = np.concatenate([[True], run[1:] != run[:-1]])
         begins = np.flatnonzero(gone[:-1] & (edge | ~np.concatenate([[False], gone[:-2]])))
         stops = np.flatnonzero(gone[:-1] & (np.append(edge[1:], True) | ~gone[1:]))
@@ -189,8 +226,49 @@ class EarlierFinder(RepeatFinder):
             "row": rows.column("row").to_numpy()[mine], "id": ids[mine],
             "begin": at[begins] + origin, "end": at[stops] + origin + self.window})
 
+    def has_earlier(self, data: np.ndarray, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Which strings of the threshold's length, starting at `at`, a smaller id has too.
+
+        Prefix doubling: the rank of a longer string is that of the pair of ranks of its head and of
+        its tail; places whose string only one id has are ranked no further.
+        """
+        lengths = [self.window]
+        while lengths[0] > BASE:
+            lengths.insert(0, (lengths[0] + 1) // 2)
+        rank = np.zeros(len(data), np.uint64)
+        live = np.arange(len(at))
+        for n, length in enumerate(lengths):
+            # tails lie at sums of the offsets of the rounds that are left
+            needed = np.zeros(len(data), bool)
+            offsets = [0]
+            for shorter, longer in zip(lengths[n:], lengths[n + 1:]):
+                offsets += [o + longer - shorter for o in offsets]
+            for o in offsets:
+                needed[at[live] + o] = True
+            places = np.flatnonzero(needed)
+            if n:
+                pairs = rank[places] << np.uint64(32)
+                pairs |= rank[places + length - lengths[n - 1]]
+                rank[places] = dense_ranks(pairs)
+            else:
+                rank[places] = string_ranks(data, places, length)
+            mine = rank[at[live]].astype(np.int64)
+            least = np.full(len(places), _LAST)
+            most = np.full(len(places), np.iinfo(np.int64).min)
+            np.minimum.at(least, mine, ids[live])
+            np.maximum.at(most, mine, ids[live])
+            several = least[mine] < most[mine]
+            live, mine = live[several], mine[several]
+        gone = np.zeros(len(at), bool)
+        gone[live] = ids[live] > least[mine]
+        return gone
+
     def string_rows(self, batches, places: bool) -> Iterator[pa.RecordBatch]:
-        """Strings of runs with large names: (w, row, id, begin), or least and greatest id of w."""
+        """Strings of runs with large names: (v, w, row, id, begin), or least and greatest id of v, w.
+
+        Hashes w are compared among strings of one name only, so chance collisions stay as rare as
+        names are short of strings.
+        """
         for batch in slices(batches):
             runs, chosen = self._chosen(batch, "large")
             if not len(chosen):
@@ -198,15 +276,19 @@ class EarlierFinder(RepeatFinder):
             sizes = runs.stops[chosen] - runs.starts[chosen] + 1
             at, rows = _stretches(runs.starts[chosen], sizes), np.repeat(runs.rows[chosen], sizes)
             values, ids = runs.rolling.all(self.window)[at].view(np.int64), _ids(batch)[rows]
+            names = np.repeat(runs.anchors[chosen], sizes)
             if places:
                 first = text_bytes(batch.column("text"))[1]
                 yield pa.RecordBatch.from_pydict({
-                    "w": values, "row": batch.column("row").to_numpy(False)[rows], "id": ids,
+                    "v": names, "w": values, "row": batch.column("row").to_numpy(False)[rows], "id": ids,
                     "begin": at - first[rows]})
             else:
-                order, new, distinct = grouped(values)
+                order = np.lexsort((values, names))
+                names, values = names[order], values[order]
+                new = np.flatnonzero(np.concatenate([[True], (names[1:] != names[:-1])
+                                                     | (values[1:] != values[:-1])]))
                 yield pa.RecordBatch.from_pydict({
-                    "w": distinct, "first": np.minimum.reduceat(ids[order], new),
+                    "v": names[new], "w": values[new], "first": np.minimum.reduceat(ids[order], new),
                     "last": np.maximum.reduceat(ids[order], new)})
 
     def earlier_spans(self, waiting: DataFrame) -> DataFrame:
@@ -217,11 +299,11 @@ class EarlierFinder(RepeatFinder):
             self.compare, "row long, id long, begin long, end long")
         large = waiting.where(F.size("large") > 0)
         strings = large.mapInArrow(lambda b: self.string_rows(b, False),
-                                   "w long, first long, last long").groupBy("w").agg(
+                                   "v long, w long, first long, last long").groupBy("v", "w").agg(
             F.min("first").alias("first"), F.max("last").alias("last")).where("first < last")
         places = large.mapInArrow(lambda b: self.string_rows(b, True),
-                                  "w long, row long, id long, begin long")
-        others = places.join(strings.drop("last"), "w").where("id > first").select(
+                                  "v long, w long, row long, id long, begin long")
+        others = places.join(strings.drop("last"), ["v", "w"]).where("id > first").select(
             "row", "id", "begin", (F.col("begin") + self.window).alias("end"))
         return spans.unionByName(others).groupBy("row", "id").agg(
             F.collect_list(F.struct("begin", "end")).alias("s")).select(

@@ -96,6 +96,32 @@ def test_suffix_dedup(docs, nothing, monkeypatch, group):
     assert suffix_dedup.suffix_dedup(nothing).collect() == []
 
 
+@pytest.mark.parametrize("base", [50, 25, 13, 5, 1])
+@pytest.mark.parametrize("weak", [False, True])
+def test_ranks_by_doubling(monkeypatch, base, weak):
+    """Places of strings that a smaller id has, at any first length; hashes need not tell them apart."""
+    monkeypatch.setattr(suffix_dedup, "BASE", base)
+    if weak:
+        every = suffix_dedup.Rolling.all
+        monkeypatch.setattr(suffix_dedup.Rolling, "all", lambda self, n: every(self, n) & np.uint64(3))
+    own = random.Random(base)
+    stock = [bytes(own.choice(b"ab") for _ in range(70)) for _ in range(4)] + [b"a" * 70]
+    texts = [(own.choice([1, 2, 3, 5, 2 ** 63 - 1]), own.choice(stock)[own.randrange(9):]) for _ in range(40)]
+    for window in (50, 33, 9, 2):
+        finder = suffix_dedup.EarlierFinder(None, None, "", window, (window + 1) // 2)
+        first, at, ids, strings, origin = {}, [], [], [], 0
+        for doc, text in texts:
+            for i in range(len(text) - window + 1):
+                at.append(origin + i)
+                ids.append(doc)
+                strings.append(text[i:i + window])
+                first[strings[-1]] = min(doc, first.get(strings[-1], doc))
+            origin += len(text)
+        data = np.frombuffer(b"".join(t for _, t in texts), np.uint8)
+        got = finder.has_earlier(data, np.array(at), np.array(ids))
+        assert got.tolist() == [first[s] < doc for s, doc in zip(strings, ids)]
+
+
 def ascii_lower(text):
     return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
 
