@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hirelake.functions.slugs import (
     is_valid_slug, match_domain, match_host, redirect_targets, url_parts)
+from hirelake.operators.joins import left_join_unique
 
 
 def systems(like: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -102,6 +103,16 @@ def match_hosts(hosts: DataFrame, patterns: DataFrame) -> DataFrame:
     return first.select("host", "first.rank", "first.pattern")
 
 
+def with_first_pattern(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """rows(host, ...) with rank and pattern of the first pattern in their host, else null.
+
+    A host may hold any share of the rows: only distinct hosts meet the patterns, and rows of
+    frequent hosts, or of none, are not shuffled.
+    """
+    return left_join_unique(rows, match_hosts(rows, patterns), "host").select(
+        *rows.columns, "rank", "pattern")
+
+
 def first_hits(postings: DataFrame, key: str, order: Iterable[str]) -> DataFrame:
     """First row per key in the given order (all other columns break ties).
 

@@ -77,6 +77,11 @@ def test_host_patterns(spark, no_broadcast):
     plan = plan_of(got)
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert discovery.match_hosts(made, table.where("false")).collect() == []
+    pages = spark.createDataFrame([(h, i) for i, h in enumerate(hosts * 2 + [None, "a.hot"] * 40)], "host string, page long")
+    for chosen, first in ((table, min), (table.where("false"), None)):
+        got = {(r.host, r.page, r.rank, r.pattern) for r in discovery.with_first_pattern(pages, chosen).collect()}
+        best = lambda h: min(((i, p) for i, p in patterns if first and h and p and p in h), default=(None, None))
+        assert got == {(h, i, *best(h)) for h, i in pages.collect()}
 
 
 def test_head_and_tail_in_one_pass(spark, tmp_path, no_broadcast):

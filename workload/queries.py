@@ -563,9 +563,7 @@ def host_pattern_table(spark, folder):
     pages = inputs.board_urls(spark, folder).select(
         "page_id", slugs.url_parts(F.col("url"))["host"].alias("host"), "label")
     patterns = pages.select(F.col("page_id").alias("rank"), F.substring("label", 2, 5).alias("pattern"))
-    found = discovery.match_hosts(pages, patterns)
-    return pages.select("page_id", "host").join(found, "host", "left").select(
-        "page_id", "host", "rank", "pattern")
+    return discovery.with_first_pattern(pages.select("page_id", "host"), patterns)
 
 
 @query
