@@ -24,6 +24,8 @@ STALE_DAYS = 7
 _KEPT = ("ats", "company_id", "ats_job_id")
 # Overwritten unless the new value is null.
 _COALESCED = ("description_text",)
+# What light rows have in place of the description: its hash, and the posting that holds it.
+TEXT_AT = ("text_hash", "text_row", "text_pos")
 _REPLACED = tuple(c for c in JOBS.columns
                   if c not in ("job_id", "first_seen_at", "last_seen_at", *_KEPT, *_COALESCED))
 
@@ -68,15 +70,16 @@ def job_exists(state: DataFrame, job_id: str) -> DataFrame:
         F.col("description_text").isNotNull().cast("int").alias("has_desc"))
 
 
-def compare_hash(mode: str = "reference") -> Column:
-    """What an incoming row is compared by.
+def compare_hash(mode: str = "reference", text_hash: Column | None = None) -> Column:
+    """What an incoming row is compared by. text_hash stands for a description not at hand.
 
     'reference': hash without the description, although the stored hash has it; rows with
     a description therefore count as updates on every run. 'full': the row's own hash and its
     whole description, as the hash covers the first 500 characters only.
     """
     if mode == "full":
-        return _full_hash(F.col("content_hash"), F.sha2("description_text", 256))
+        return _full_hash(F.col("content_hash"),
+                          F.sha2("description_text", 256) if text_hash is None else text_hash)
     if mode != "reference":
         raise ValueError(f"unknown hash mode {mode!r}")
     slug = F.expr("substring(company_id, instr(company_id, ':') + 1)")
@@ -205,14 +208,20 @@ def fold_batch(incoming: DataFrame, state: DataFrame, order: Iterable[str] = ("p
     2. the state's (job_id, content_hash) pairs mark the groups to pass over;
     3. the rest is folded by job_id, again on the map side first.
     A job_id with any number of rows is thus at most one row per map task in each shuffle.
-    state may be whole jobs or their narrow side (job_id, content_hash, text_hash). Row counts ride along for the statistics, which count repeated rows one by one.
+    state may be whole jobs or their narrow side (job_id, content_hash, text_hash), and incoming
+    whole rows or light ones, which have TEXT_AT in place of the description: its hash and where
+    it is, null without one. Row counts ride along for the statistics, which count repeated rows
+    one by one.
     """
-    rows = incoming.withColumn("_hash", compare_hash(hash_mode))
+    light = "description_text" not in incoming.columns
+    text = TEXT_AT if light else _COALESCED
+    rows = incoming.withColumn(
+        "_hash", compare_hash(hash_mode, F.col("text_hash") if light else None))
     at = F.struct(*order, "company_id").alias("at")
-    described = F.col("description_text").isNotNull()
+    described = F.col(text[0]).isNotNull()
     groups = rows.groupBy("job_id", "_hash").agg(
         *_first_and_last(F.struct(at, *_KEPT), F.struct(at, *_REPLACED),
-                         F.when(described, F.struct(at, "description_text")), F.lit(True)),
+                         F.when(described, F.struct(at, *text)), F.lit(True)),
         F.count("*").alias("n_rows"))
     text_hash = F.col("text_hash") if "text_hash" in state.columns else None
     stored = state.select("job_id", F.explode(stored_hashes(hash_mode, text_hash)).alias("_hash"),
@@ -224,7 +233,7 @@ def fold_batch(incoming: DataFrame, state: DataFrame, order: Iterable[str] = ("p
         F.sum(F.when(written, F.col("n_rows")).otherwise(0)).alias("n_written"))
     return folded.select(
         "job_id", *[F.col(f"_first.{c}") for c in _KEPT],
-        *[F.col(f"_last.{c}") for c in _REPLACED], "_text.description_text",
+        *[F.col(f"_last.{c}") for c in _REPLACED], *[F.col(f"_text.{c}") for c in text],
         "now", "n_rows", "n_written")
 
 
@@ -265,12 +274,15 @@ def merge_jobs(state: DataFrame, folded: DataFrame) -> DataFrame:
 def settle(seen: DataFrame, folded: DataFrame, cutoff: int) -> DataFrame:
     """What a folded batch means for each job, from the narrow side of the state alone.
 
-    (job_id, ats, last_seen_at, content_hash, text_hash, is_new, is_written, is_stale, rows_new,
-    rows_updated, rows_touched); the first five are the narrow side after the run. No
-    description is read: of a batch's only the hash.
+    (job_id, ats, last_seen_at, content_hash, text_hash, is_new, is_written, is_stale, is_carried,
+    rows_new, rows_updated, rows_touched); the first five are the narrow side after the run. A
+    job is carried if stored values beyond _KEPT stay. No description is read: of a batch's only
+    the hash.
     """
+    text_hash = ("text_hash" if "text_hash" in folded.columns
+                 else F.sha2("description_text", 256).alias("text_hash"))
     b = folded.select("job_id", "ats", "now", "n_rows", "n_written", "content_hash",
-                      F.sha2("description_text", 256).alias("text_hash")).alias("b")
+                      text_hash).alias("b")
     s = seen.alias("s")
     in_state, in_batch = F.col("s.job_id").isNotNull(), F.col("b.job_id").isNotNull()
     late = F.coalesce(in_state & in_batch & (F.col("b.now") < F.col("s.last_seen_at")), F.lit(False))
@@ -285,6 +297,8 @@ def settle(seen: DataFrame, folded: DataFrame, cutoff: int) -> DataFrame:
         F.coalesce(F.when(written, F.col("b.text_hash")), F.col("s.text_hash")).alias("text_hash"),
         (~in_state).alias("is_new"), F.coalesce(written, F.lit(False)).alias("is_written"),
         (last < cutoff).alias("is_stale"),
+        (in_state & (last >= cutoff) & ~F.coalesce(
+            written & F.col("b.text_hash").isNotNull(), F.lit(False))).alias("is_carried"),
         *[c.cast("bigint").alias(name) for name, c in (
             ("rows_new", F.when(in_state, 0).otherwise(rows)),
             ("rows_updated", F.when(in_state, hits).otherwise(0)),
@@ -297,14 +311,23 @@ def unchanged(seen: DataFrame, cutoff: int) -> DataFrame:
     return seen.select(
         "job_id", "ats", "last_seen_at", "content_hash", "text_hash", F.lit(False).alias("is_new"),
         F.lit(False).alias("is_written"), (F.col("last_seen_at") < cutoff).alias("is_stale"),
-        zero.alias("rows_new"), zero.alias("rows_updated"), zero.alias("rows_touched"))
+        (F.col("last_seen_at") >= cutoff).alias("is_carried"), zero.alias("rows_new"), zero.alias("rows_updated"), zero.alias("rows_touched"))
 
 
-def rewrite_details(details: DataFrame, settled: DataFrame, folded: DataFrame) -> DataFrame:
+def replaced_details(details: DataFrame) -> DataFrame:
+    """Stored details of which no job is carried: a rewrite looks at the key, _KEPT and first_seen_at."""
+    looked_at = ("job_id", "first_seen_at", *_KEPT)
+    return details.select(*[F.col(f.name) if f.name in looked_at else F.lit(None).cast(f.dataType).alias(f.name)
+                            for f in JOB_DETAILS.schema.fields])
+
+
+def rewrite_details(details: DataFrame, settled: DataFrame, folded: DataFrame,
+                    texts: DataFrame | None = None) -> DataFrame:
     """The wide side after a run, for the jobs in settled that stay.
 
     Each row is moved once: the narrow decisions meet the stored details and the folded rows
-    that are to be written.
+    that are to be written. Light folded rows get their description from texts, which has it by
+    TEXT_AT's place (ats, text_row, text_pos), one row each; only there is a new one shuffled.
     """
     kept = settled.where(~F.col("is_stale")).select("job_id", "is_new", "is_written").alias("k")
     s = details.alias("s")
@@ -315,13 +338,24 @@ def rewrite_details(details: DataFrame, settled: DataFrame, folded: DataFrame) -
               "first_seen_at": F.when(new, F.col("b.now")).otherwise(F.col("s.first_seen_at"))}
     for c in _KEPT:
         values[c] = F.when(new, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}"))
-    for c in _COALESCED:
-        values[c] = F.coalesce(F.when(written, F.col(f"b.{c}")), F.col(f"s.{c}"))
     for c in _REPLACED:
         values[c] = F.when(written, F.col(f"b.{c}")).otherwise(F.col(f"s.{c}"))
-    return (kept.join(s, F.col("k.job_id") == F.col("s.job_id"), "left")
-            .join(b, F.col("k.job_id") == F.col("b.job_id"), "left")
-            .select(*[values[c].alias(c) for c in JOB_DETAILS.columns]))
+    joined = (kept.join(s, F.col("k.job_id") == F.col("s.job_id"), "left")
+              .join(b, F.col("k.job_id") == F.col("b.job_id"), "left"))
+    if texts is None:
+        for c in _COALESCED:
+            values[c] = F.coalesce(F.when(written, F.col(f"b.{c}")), F.col(f"s.{c}"))
+        return joined.select(*[values[c].alias(c) for c in JOB_DETAILS.columns])
+    brought = F.coalesce(written & F.col("b.text_hash").isNotNull(), F.lit(False))
+    values["description_text"] = F.when(~brought, F.col("s.description_text"))
+    # Jobs that are brought no text have no place, and spread by their id.
+    place = {"text_row": F.when(brought, F.col("b.text_row")).otherwise(F.xxhash64("k.job_id")),
+             "text_pos": F.when(brought, F.col("b.text_pos")).otherwise(-1)}
+    light = joined.select(*[values[c].alias(c) for c in JOB_DETAILS.columns],
+                          *[c.alias(name) for name, c in place.items()])
+    found = texts.withColumnRenamed("description_text", "_text")
+    return light.join(found, ["ats", "text_row", "text_pos"], "left").withColumn(
+        "description_text", F.coalesce("_text", "description_text")).select(*JOB_DETAILS.columns)
 
 
 def upsert_jobs(state: DataFrame, incoming: DataFrame, order: Iterable[str] = ("pos",),

@@ -11,17 +11,18 @@ from hirelake.sources.boards import ALIVE, DEAD, ERROR
 MAX_ATTEMPTS = 3
 
 
-def collapse_attempts(attempts: DataFrame, *carried: str,
-                      max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def collapse_attempts(attempts: DataFrame, *carried: str, max_attempts: int = MAX_ATTEMPTS,
+                      tie: Column | None = None) -> DataFrame:
     """One row per (ats, slug): the first attempt that did not fail, else outcome 'error'.
 
     attempts: ats, slug, attempt (0-based), outcome and the carried columns. Repeated
-    attempt numbers are settled by outcome, then by the hash of the carried values. The
+    attempt numbers are settled by outcome, then by tie (the hash of the carried values). The
     minimum is taken on the map side first, so a company with very many rows costs one
     row per map task.
     """
     answered = F.col("outcome") != ERROR
-    tie = F.xxhash64(*carried) if carried else F.lit(0)
+    if tie is None:
+        tie = F.xxhash64(*carried) if carried else F.lit(0)
     # min_by passes over rows whose order is null.
     first = F.min_by(F.when(answered, F.struct("outcome", *carried)),
                      F.when(answered, F.struct("attempt", "outcome", tie)))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hirelake.functions.text import non_empty
 from hirelake.operators import merge, probes
-from hirelake.schemas import COMPANIES, JOB_DETAILS, META, SEEN
+from hirelake.schemas import COMPANIES, JOB_DETAILS, JOB_SCHEMA, META, SEEN
 from hirelake.session import materialize, side_by_side
 from hirelake.sources.boards import (
     ALIVE, DEAD, REGISTRY, BoardSource, postings_of, project_jobs, union_all, with_postings)
@@ -28,34 +28,58 @@ class RunResult:
     dropped: DataFrame  # per system: postings_dropped, for want of an id
 
 
+def attempt_rows(attempts: DataFrame, source: BoardSource) -> DataFrame:
+    """Each attempt with its number (row), outcome, postings and what those decide as a whole.
+
+    That is tie (their hash), unkeyed (those without an id) and name (of the company).
+    """
+    name = (probes.first_name(F.col(f"postings.{source.company_name}"))
+            if source.company_name else F.lit(None).cast("string"))
+    unkeyed = F.size(F.filter("postings", lambda p: p["id"].isNull()))
+    return with_postings(attempts, source).select(
+        "ats", "slug", "attempt", "outcome", F.xxhash64("postings").alias("tie"),
+        unkeyed.alias("unkeyed"), name.alias("name"),
+        F.monotonically_increasing_id().alias("row"), "postings")
+
+
+def posting_rows(attempts: DataFrame, source: BoardSource, now: int) -> DataFrame:
+    """Job rows of all attempts, without a shuffle, each with its attempt: one for each posting
+    with an id (pos), and one without pos for an attempt that has none."""
+    jobs = project_jobs(postings_of(attempt_rows(attempts, source), outer=True), source, now)
+    return jobs.withColumn("text_hash", F.sha2("description_text", 256))
+
+
 def probe_boards(attempts: DataFrame, stored: DataFrame, source: BoardSource,
                  slugs: DataFrame | None = None) -> DataFrame:
-    """One row per board: ats, slug, outcome, unkeyed, company_name, postings.
+    """One row per board: ats, slug, outcome, unkeyed, row (of the attempt that counts), company_name.
 
-    slugs (ats, slug), if given, are the only boards to consider. The single shuffle of the
-    payloads on (ats, slug) serves the retry collapse and both joins. Names are settled
-    here, at one row per company, and not per job, where a large company would be one hot
-    join key.
+    attempts: as landed, or their posting_rows. slugs (ats, slug), if given, are the only boards
+    to consider. The single shuffle on (ats, slug) serves the retry collapse and both joins; it
+    has no postings. Names are settled here, at one row per company.
     """
-    boards = probes.collapse_attempts(with_postings(attempts, source), "postings")
+    heads = (attempt_rows(attempts, source) if "body" in attempts.columns
+             else attempts.where(F.coalesce("pos", F.lit(0)) == 0))
+    boards = probes.collapse_attempts(heads, "unkeyed", "name", "row", tie=F.struct("tie", "row"))
     if slugs is not None:
         listed = slugs.where(F.col("ats") == source.ats).select("ats", "slug")
         boards = boards.join(listed, ["ats", "slug"], "left_semi")
-    unkeyed = F.size(F.filter("postings", lambda p: p["id"].isNull()))
-    boards = boards.withColumn("unkeyed", unkeyed)
-    name = (probes.first_name(F.col(f"postings.{source.company_name}"))
-            if source.company_name else F.lit(None).cast("string"))
     known = COMPANIES.conform(stored).where(F.col("ats") == source.ats)
-    return probes.resolve_names(boards.withColumn("company_name", name), known)
+    return probes.resolve_names(boards.withColumnRenamed("name", "company_name"), known)
+
 
+def board_jobs(postings: DataFrame, boards: DataFrame) -> DataFrame:
+    """Light job rows (with pos) of the boards alive, named after their company if they name none.
 
-def board_jobs(boards: DataFrame, source: BoardSource, now: int) -> DataFrame:
-    """Job rows (with pos) of the boards alive, named after their company if they name none."""
+    postings: posting_rows; their descriptions stay where they are, and TEXT_AT tells where.
+    """
     alive = boards.where(F.col("outcome") == ALIVE).select(
-        "slug", F.col("company_name").alias("_company"), "postings")
-    jobs = project_jobs(postings_of(alive), source, now)
-    return jobs.withColumn(
-        "company_name", F.coalesce(non_empty(F.col("company_name")), "_company")).drop("_company")
+        "row", F.col("company_name").alias("_company"))
+    described = F.col("text_hash").isNotNull()
+    light = postings.where(F.col("pos").isNotNull()).select(
+        *[c for c in JOB_SCHEMA.names if c != "description_text"], "text_hash", "pos", "row",
+        F.when(described, F.col("row")).alias("text_row"), F.when(described, F.col("pos")).alias("text_pos"))
+    return light.join(alive, "row").withColumn(
+        "company_name", F.coalesce(non_empty(F.col("company_name")), "_company")).drop("_company", "row")
 
 
 def next_companies(state: DataFrame, boards: DataFrame, now: int) -> DataFrame:
@@ -81,7 +105,8 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
     the merges keep them by themselves, so this is for state that others write to as well.
 
     The narrow side of the state decides everything; stored details are read only where a job of
-    their part is new, changed or stale, and parts of other systems only for the purge.
+    their part is new, changed or stale (their descriptions only where one is carried), and parts
+    of other systems only for the purge.
     """
     base = store.latest()
     version = (base or 0) + 1 if version is None else version
@@ -89,18 +114,24 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
     companies, seen, meta = (store.read(t, base) for t in (COMPANIES, SEEN, META))
     spark = store.spark
 
-    # Parsed payloads feed four consumers, so they are written once, pruned and collapsed.
-    def settle_boards(source: BoardSource) -> DataFrame:
-        return materialize(probe_boards(attempts, companies, source, slugs),
-                           f"boards-{source.ats}")
+    # Parsed payloads feed several consumers, so they are written once, pruned. All but the last
+    # step leave the descriptions there; it moves those that are to be stored, once.
+    def settle_boards(source: BoardSource) -> tuple[DataFrame, DataFrame]:
+        rows = materialize(posting_rows(attempts, source, now), f"postings-{source.ats}",
+                           compression="zstd")
+        return rows, materialize(probe_boards(rows, companies, source, slugs), f"boards-{source.ats}")
 
-    boards = side_by_side(spark, *[partial(settle_boards, s) for s in sources])
-    outcomes = union_all([b.drop("postings") for b in boards])
+    postings, boards = zip(*side_by_side(spark, *[partial(settle_boards, s) for s in sources]))
+    outcomes = union_all(list(boards))
 
-    incoming = union_all([board_jobs(b, s, now) for b, s in zip(boards, sources)])
+    incoming = union_all([board_jobs(p, b) for p, b in zip(postings, boards)])
+    texts = union_all([p.where("pos is not null and text_hash is not null").select(
+        "ats", F.col("row").alias("text_row"), F.col("pos").alias("text_pos"), "description_text")
+        for p in postings])
     ran = F.col("ats").isin([s.ats for s in sources])
     cutoff = merge.stale_cutoff(now, stale_days)
-    folded = materialize(merge.fold_batch(incoming, seen.where(ran), hash_mode=hash_mode), "folded")
+    folded = materialize(merge.fold_batch(incoming, seen.where(ran), hash_mode=hash_mode), "folded",
+                         compression="zstd")
     settled = merge.settle(seen.where(ran), folded, cutoff)
     if len(sources) < len(REGISTRY):
         settled = settled.unionByName(merge.unchanged(seen.where(~ran), cutoff))
@@ -111,6 +142,7 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
     parts = settled.groupBy("ats", "bucket").agg(
         *totals.values(), F.count_if("is_stale").alias("purged"),
         F.count_if(F.col("is_written") | F.col("is_stale")).alias("changed"),
+        F.count_if("is_carried").alias("carried"),
         F.count_if(~F.col("is_stale")).alias("left")).collect()
     names = {part_name(r.ats, r.bucket): r for r in parts}
     chosen = {s.ats for s in sources}
@@ -127,9 +159,12 @@ def run_scrape(attempts: DataFrame, store: StateStore, now: int, *,
         if not rewritten:
             store.carry(JOB_DETAILS, version, base)
             return
-        held = store.parts(JOB_DETAILS, base)
-        details = store.read_parts(JOB_DETAILS, {p: v for p, v in held.items() if p in set(rewritten)})
-        store.write(merge.rewrite_details(details, within(rewritten), folded), JOB_DETAILS, version,
+        held = {p: v for p, v in store.parts(JOB_DETAILS, base).items() if p in set(rewritten)}
+        # Where no job is carried, the stored descriptions are not read.
+        whole, replaced = (store.read_parts(JOB_DETAILS, {
+            p: v for p, v in held.items() if bool(names[p].carried) == carried}) for carried in (True, False))
+        details = whole.unionByName(merge.replaced_details(replaced))
+        store.write(merge.rewrite_details(details, within(rewritten), folded, texts), JOB_DETAILS, version,
                     base=base, replaced=rewritten, filled=filled.intersection(rewritten))
 
     last = merge.get_meta(meta, LAST_RUN_KEY).first()

@@ -46,7 +46,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = (),
+                compression: str = "snappy") -> DataFrame:
     """Write df once to the scratch folder and read it back.
 
     Cuts lineage with files that outlive any executor, and lets several consumers read
@@ -54,7 +55,7 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.option("compression", compression).partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -220,15 +220,16 @@ def with_postings(probes: DataFrame, source: BoardSource) -> DataFrame:
     )
 
 
-def postings_of(boards: DataFrame) -> DataFrame:
-    """One row per posting with its place in the payload (`pos`).
+def postings_of(boards: DataFrame, outer: bool = False) -> DataFrame:
+    """One row per posting with its place in the payload (`pos`); outer: one for a board without.
 
     Postings without an id are dropped, as they cannot be keyed. Doing so inside the array
     also keeps the optimizer from adding a size filter that would parse each body twice.
     """
     others = [c for c in boards.columns if c != "postings"]
     keyed = F.filter("postings", lambda p: p["id"].isNotNull())
-    return boards.select(*others, F.posexplode(keyed).alias("pos", "posting"))
+    explode = F.posexplode_outer if outer else F.posexplode
+    return boards.select(*others, explode(keyed).alias("pos", "posting"))
 
 
 def project_jobs(postings: DataFrame, source: BoardSource, now: Column | int) -> DataFrame:

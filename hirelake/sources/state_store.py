@@ -141,7 +141,7 @@ class StateStore:
         folder = self._data(table, version)
         rows = df.select(*table.columns, *([self.bucket()] if "bucket" in names else []))
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(*names).parquet(folder))
+         .option("compression", "zstd").partitionBy(*names).parquet(folder))
         written = self._written(table, folder) if filled is None else filled
         self._note(table, version, base, replaced, written)
 

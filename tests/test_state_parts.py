@@ -1,5 +1,6 @@
 """What a run writes and reads of the state, by files and plans; constraints at commit."""
 
+import glob
 import os
 import re
 
@@ -10,6 +11,7 @@ from hirelake import schemas
 from hirelake.operators import merge
 from hirelake.plans.scrape import run_scrape
 from hirelake.schemas import COMPANIES, JOB_DETAILS, JOBS, SEEN
+from hirelake.session import scratch_dir
 from hirelake.sources.state_store import ConstraintError, StateStore
 from test_plans import DAY, RUN1, RUN2, T0, attempts, rows
 
@@ -99,3 +101,50 @@ def test_a_version_that_breaks_a_key_is_refused(spark, tmp_path):
     with pytest.raises(ConstraintError, match="slug"):
         store.commit(2, verify=(COMPANIES,))
     assert store.latest() == 1 and store.read(JOBS).count() == jobs.count()
+
+
+def test_a_run_keeps_descriptions_in_one_scratch_table(spark, tmp_path):
+    """Retry collapse, names and folding move no answers; only the last step does, once."""
+    before = set(glob.glob(f"{scratch_dir(spark)}/*"))
+    run_scrape(attempts(spark, RUN1), StateStore(spark, str(tmp_path / "state")), T0)
+    made = {}
+    for path in set(glob.glob(f"{scratch_dir(spark)}/*")) - before:
+        made[os.path.basename(path).rsplit("-", 1)[0]] = set(spark.read.parquet(path).columns)
+    assert {k for k, columns in made.items() if columns & {"description_text", "postings", "body"}} == {
+        "postings-lever", "postings-greenhouse", "postings-ashby"}
+    assert {"boards-lever", "folded", "settled"} <= set(made)
+
+
+def test_stored_descriptions_are_read_for_carried_jobs_only(spark, tmp_path, monkeypatch):
+    store = StateStore(spark, str(tmp_path / "state"))
+    run_scrape(attempts(spark, RUN1), store, T0)
+    replaced = []
+    monkeypatch.setattr(merge, "replaced_details", lambda details, plain=merge.replaced_details: (
+        replaced.append(rows(details, "job_id")) or plain(details)))
+    again = [(*r[:4], r[4].replace("Engineer", "Builder").replace("null", '"new"') if r[4] else None)
+             for r in RUN1 if r[0] == "lever"]
+    run_scrape(attempts(spark, again), store, T0 + DAY, only=["lever"])  # all with a new text
+    assert replaced == [[("lever:1",), ("lever:2",)]]
+    jobs = {r.job_id: r for r in store.read(JOBS).collect()}
+    assert (jobs["lever:1"].title, jobs["lever:1"].description_text) == ("Builder", "new")
+    assert jobs["lever:2"].description_text == "text" and jobs["lever:1"].first_seen_at == T0
+    # Without a text of its own the stored one stays, and so does all of a job not seen.
+    run_scrape(attempts(spark, RUN2), store, T0 + 2 * DAY)
+    jobs = {r.job_id: r for r in store.read(JOBS).collect()}
+    assert [jobs[f"lever:{i}"].description_text for i in (1, 2, 3)] == ["new", "text", None]
+    assert jobs["greenhouse:11"].title == "B" and jobs["ashby:x"].title == "Designer"
+
+
+def test_text_of_a_repeated_posting_and_of_a_later_attempt(spark, tmp_path):
+    """The last row decides, the last description stays; an attempt that lost brings nothing."""
+    def body(*postings):
+        return "[" + ",".join('{"id":"%s","text":"%s","descriptionPlain":%s}' % p for p in postings) + "]"
+
+    data = [("lever", "a", 1, 200, body(("1", "Late", '"late"'), ("7", "Late", '"late"'))),
+            ("lever", "a", 0, 200, body(("1", "One", '"first"'), ("1", "Two", '"second"'), ("1", "Three", "null"))),
+            ("lever", "b", 2, 200, body(("2", "B", '"of b"'))), ("lever", "b", 0, 503, None)]
+    store = StateStore(spark, str(tmp_path / "state"))
+    result = run_scrape(attempts(spark, data), store, T0)
+    assert rows(store.read(JOBS), "job_id", "title", "description_text", "company_name") == [
+        ("lever:1", "Three", "second", "a"), ("lever:2", "B", "of b", "b")]
+    assert rows(result.totals, "companies", "jobs_new") == [(2, 4)]
