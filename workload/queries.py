@@ -475,7 +475,7 @@ def incremental_feed(spark, folder):
     for second, now in ((False, inputs.RUN_1), (True, inputs.RUN_2)):
         (inputs.run_attempts(spark, folder, second)
          .withColumn("probed_at", F.lit(now).cast("bigint"))
-         .write.mode("append").parquet(landed))
+         .write.mode("append").option("compression", "zstd").parquet(landed))
         started = feed.start_feed(feed.read_feed(spark, landed), store, checkpoint)
         started.awaitTermination()
     return store.read(COMPANIES)
@@ -490,7 +490,7 @@ def incremental_feed_jobs(spark, folder):
         "probed_at", F.lit(now).cast("bigint"))
         for second, now in ((False, inputs.RUN_1), (True, inputs.RUN_2))]
     scrape.run_scrape(runs[0].drop("probed_at").where("false"), store, inputs.RUN_1 - 1)
-    runs[1].unionByName(runs[0]).write.parquet(landed)
+    runs[1].unionByName(runs[0]).write.option("compression", "zstd").parquet(landed)
     feed.start_feed(feed.read_feed(spark, landed), store,
                     scratch_path(spark, "checkpoint")).awaitTermination()
     return store.read(JOBS)
