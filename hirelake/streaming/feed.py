@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hirelake.plans.scrape import run_scrape
 from hirelake.schemas import PROBE_ATTEMPTS
+from hirelake.session import materialize
 from hirelake.sources.state_store import StateStore
 
 # Landed attempts carry their time, so that a replayed batch gives the same rows.
@@ -29,13 +32,47 @@ def once_only(feed: DataFrame, within: str = "2 days") -> DataFrame:
 
     An attempt is (ats, slug, probed_at, attempt); probed_at is the event time. Repeats are known for
     `within` after it, and attempts older than the newest one by more are dropped as too late
-    (late_rows counts them). Attempts without probed_at belong to no run and are dropped too.
+    (late_rows counts them). Attempts without probed_at belong to no run and are dropped too. Each
+    look at a batch shuffles the feed, so take its places if it has large answers.
     """
     timed = feed.where(F.col("probed_at").isNotNull()).withColumn(
         "_time", F.timestamp_seconds("probed_at")).withWatermark("_time", within)
     return timed.dropDuplicatesWithinWatermark(["ats", "slug", "probed_at", "attempt"]).drop("_time")
 
 
+def places(feed: DataFrame) -> DataFrame:
+    """The attempts of a feed of Parquet files without what they answered: by file and row.
+
+    once_only then deals out these narrow rows; start_feed reads the answers of those that stay.
+    """
+    return feed.select("ats", "slug", "attempt", "probed_at", F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+
+
+def landed_rows(placed: DataFrame) -> DataFrame:
+    """The landed attempts that placed(_file, _row) names.
+
+    Files all of whose rows are named are read as they are; rows of the others are looked up.
+    """
+    spark = placed.sparkSession
+    file, row = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+
+    def read(files: list[str]) -> DataFrame:
+        if not files:
+            return spark.createDataFrame([], FEED_SCHEMA)
+        return spark.read.schema(FEED_SCHEMA).parquet(*map(unquote, files))  # named as URLs
+
+    named = dict(placed.groupBy("_file").count().collect())  # one entry a file of the batch
+    held = dict(read(list(named)).select(file).groupBy("_file").count().collect()) if named else {}
+    whole = [f for f, n in named.items() if n == held[f]]
+    mixed = [f for f in named if f not in set(whole)]
+    if not mixed:
+        return read(whole)
+    some = read(mixed).select("*", file, row).join(
+        placed.where(F.col("_file").isin(mixed)), ["_file", "_row"], "left_semi")
+    return read(whole).unionByName(some.select(*FEED_SCHEMA.names))
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Attempts that a query dropped as too late, over its recent batches."""
     return sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
@@ -52,11 +89,13 @@ def start_feed(feed: DataFrame, store: StateStore, checkpoint: str,
     batch and run, so that a replay after the commit is skipped and nothing else is; a run
     that died before it overwrites its own unfinished folder. The stream's name is its
     checkpoint unless given; keep a name over a lost checkpoint only if the source will
-    deal out the same batches again.
+    deal out the same batches again. feed may be the places of a feed.
     """
     name = stream or checkpoint
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        if "_file" in batch.columns:
+            batch = landed_rows(materialize(batch, "places"))
         runs = batch.select("probed_at").distinct().orderBy("probed_at").collect()
         if runs and runs[0].probed_at is None:
             raise ValueError("an attempt without probed_at belongs to no run")

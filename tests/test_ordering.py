@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hirelake.operators import coverage, discovery, merge, ordering, sampling
 from hirelake.plans import discovery as discovery_plan
+from hirelake.plans.scrape import run_scrape
 from hirelake.schemas import JOBS
 from hirelake.sources import url_index
 from hirelake.sources.state_store import StateStore
@@ -178,6 +179,32 @@ def test_replayed_files_and_late_attempts(spark, tmp_path):
     assert rows(store.read(JOBS), *JOBS.columns) == before
 
 
+def test_repeats_are_dropped_by_place(spark, tmp_path):
+    """The answers are not dealt out with the keys; files with some new rows are looked up."""
+    landed, store = str(tmp_path / "landed files"), StateStore(spark, str(tmp_path / "s"))
+    whole = StateStore(spark, str(tmp_path / "w"))
+
+    def follow():
+        placed = feed.once_only(feed.places(feed.read_feed(spark, landed)), "2 days")
+        query = feed.start_feed(placed, store, str(tmp_path / "cp"))
+        query.awaitTermination(300)
+        assert query.exception() is None
+
+    land(spark, landed, (T0, RUN1[:4]))
+    assert "body" not in feed.places(feed.read_feed(spark, landed)).columns
+    follow()
+    land(spark, landed, (T0, RUN1[:4]))                        # the file again: nothing new
+    follow()
+    assert store.latest() == 1
+    land(spark, landed, (T0, RUN1[:4]), (T0 + DAY, RUN2))      # repeats and new rows in one file
+    land(spark, landed, (T0 + DAY, RUN2))                      # and those new rows once more
+    follow()
+    assert store.latest() == 2
+    for i, run in enumerate((RUN1[:4], RUN2)):
+        run_scrape(attempts(spark, run), whole, T0 + i * DAY)
+    assert rows(store.read(JOBS), *JOBS.columns) == rows(whole.read(JOBS), *JOBS.columns)
+
+
 def test_reasons_of_failed_redirects(spark):
     postings = spark.createDataFrame([(f"p{i}",) for i in range(7)] + [("p1",)], "posting_id string")
     hops = spark.createDataFrame(

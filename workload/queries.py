@@ -644,9 +644,9 @@ def incremental_feed_replayed(spark, folder):
     for second, now in ((False, inputs.RUN_1), (True, inputs.RUN_2)):
         run = inputs.run_attempts(spark, folder, second).withColumn("probed_at", F.lit(now).cast("bigint"))
         for _ in range(2):
-            run.write.mode("append").parquet(landed_files)
-            feed.start_feed(feed.once_only(feed.read_feed(spark, landed_files), "30 days"), store,
-                            checkpoint).awaitTermination()
+            run.write.mode("append").option("compression", "zstd").parquet(landed_files)
+            placed = feed.places(feed.read_feed(spark, landed_files))
+            feed.start_feed(feed.once_only(placed, "30 days"), store, checkpoint).awaitTermination()
     if store.latest() != 2:
         raise RuntimeError(f"a replay was merged: {store.latest()} versions")
     return store.read(COMPANIES)
